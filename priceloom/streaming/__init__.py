@@ -1,0 +1,2 @@
+"""Intentionally empty: every workload this package covers is a batch over one
+table, so there is no stream source, watermark or state to express."""
