@@ -98,6 +98,5 @@ def doc_target_encoding(spark, sf_dir):
     df = df.select(*KEY, "neighborhood", "log_price", split.SPLIT)
     train = df.filter(F.col(split.SPLIT) == "train")
     means = encode.target_means(train, "neighborhood", "log_price")
-    overall = train.agg(F.avg("log_price")).scalar()
-    encoded = encode.apply_target_means(df, means, "neighborhood", overall, "neighborhood_encoded")
+    encoded = encode.apply_target_means(df, means, "neighborhood", "neighborhood_encoded")
     return encoded.select(*KEY, F.round("neighborhood_encoded", 6).alias("neighborhood_encoded"))

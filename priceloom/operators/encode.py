@@ -8,11 +8,13 @@ label sets go through Spark ML's StringIndexer; any larger set through
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from priceloom.functions import is_number
 from priceloom.operators.ranking import global_rank
 from priceloom.sources.scratch import checkpointed
 
@@ -59,32 +61,31 @@ def frequency_index(df: DataFrame, column: str) -> DataFrame:
 
 
 def attach(df: DataFrame, labels: DataFrame, column: str, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Left join the label table onto ``df``; null and unknown labels get nulls.
+    """Left join a label table onto ``df``; null and unknown labels get nulls.
 
-    A table up to ``limit`` bytes is broadcast. A larger one is shuffled, but
-    not for the hot labels of ``df``: those number at most HOT_SHARE by
-    definition, so their part of the table is broadcast and their rows stay
-    where they are. What is shuffled has no key above 1/HOT_SHARE of the rows."""
-    table = checkpointed(labels)
+    ``labels`` has one row per ``label`` and should be cheap to read again. Up
+    to ``limit`` bytes it is broadcast. A larger one is shuffled, but not for
+    the hot labels of ``df``: those number at most HOT_SHARE by definition, so
+    their part of the table is broadcast and their rows stay where they are.
+    What is shuffled has no key above 1/HOT_SHARE of the rows."""
+    added = [c for c in labels.columns if c != "label"]
+    columns = [*df.columns, *added]
+    lookup = labels.withColumnRenamed("label", column)
     width = F.octet_length("label") + F.lit(16 * len(labels.columns))
-    size = table.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
-    lookup = table.withColumnRenamed("label", column)
+    size = labels.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
     if size <= limit:
-        return df.join(F.broadcast(lookup), column, "left").select(*df.columns, *labels.drop("label").columns)
+        return df.join(F.broadcast(lookup), column, "left").select(*columns)
 
     counts = checkpointed(label_counts(df, column).withColumnRenamed("label", column))
-    total = counts.agg(F.sum("n").alias("total")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     hot = counts.filter(F.col("n") * F.lit(HOT_SHARE) >= total).select(column)
-    hot_table = hot.join(lookup, column, "left")
-    added = [c for c in labels.columns if c != "label"]
-    columns = [*df.columns, *added]
+    hot_lookup = hot.join(lookup, column, "left")
 
-    frequent = df.join(F.broadcast(hot_table), column, "inner").select(*columns)
+    frequent = df.join(F.broadcast(hot_lookup), column, "inner").select(*columns)
     others = df.join(F.broadcast(hot), column, "left_anti")
     rare = others.filter(F.col(column).isNotNull()).join(lookup, column, "left").select(*columns)
-    unknown = df.filter(F.col(column).isNull()).select(
-        *df.columns, *[F.lit(None).cast(labels.schema[c].dataType).alias(c) for c in added]
-    )
+    blank = [F.lit(None).cast(labels.schema[c].dataType).alias(c) for c in added]
+    unknown = df.filter(F.col(column).isNull()).select(*df.columns, *blank)
     return frequent.unionByName(rare).unionByName(unknown)
 
 
@@ -95,29 +96,42 @@ def apply_index(df: DataFrame, index: DataFrame, column: str, limit: int = BROAD
     return joined.withColumn(indexed_name(column), F.coalesce(F.col("index"), spare)).drop("index")
 
 
-def target_means(df: DataFrame, column: str, label: str, smoothing: float = 10.0) -> DataFrame:
-    """(label, n, encoded): mean target per category, pulled towards the
-    overall mean by ``smoothing`` pseudo-rows. Fit it on training rows."""
-    overall = df.agg(F.avg(label).alias("overall")).scalar()
-    grouped = (
-        df.filter(F.col(column).isNotNull())
+@dataclass(frozen=True)
+class TargetMeans:
+    """A fitted target encoding. ``sums`` holds (label, n, total), one row per
+    label and one for null, stored when it was fitted."""
+
+    sums: DataFrame
+    smoothing: float
+
+    @property
+    def overall(self) -> Column:
+        """Mean target of all fitted rows, folded from the label sums."""
+        return self.sums.agg(F.try_divide(F.sum("total"), F.sum("n"))).scalar()
+
+    @property
+    def table(self) -> DataFrame:
+        """(label, n, encoded) for the non-null labels."""
+        weight = F.lit(float(self.smoothing))
+        pulled = F.col("total") + weight * self.overall
+        labels = self.sums.filter(F.col("label").isNotNull())
+        return labels.select("label", "n", F.try_divide(pulled, F.col("n") + weight).alias("encoded"))
+
+
+def target_means(df: DataFrame, column: str, label: str, smoothing: float = 10.0) -> TargetMeans:
+    """Mean target per category, pulled towards the overall mean by
+    ``smoothing`` pseudo-rows. Fit it on training rows."""
+    sums = (
+        df.filter(is_number(label))
         .groupBy(F.col(column).alias("label"))
-        .agg(F.count(label).alias("n"), F.sum(label).alias("total"))
+        .agg(F.count("*").alias("n"), F.sum(F.col(label).cast("double")).alias("total"))
     )
-    weight = F.lit(float(smoothing))
-    pulled = F.coalesce(F.col("total"), F.lit(0.0)) + weight * overall
-    encoded = F.try_divide(pulled, F.col("n") + weight)
-    return grouped.select("label", "n", encoded.alias("encoded"))
+    return TargetMeans(checkpointed(sums), smoothing)
 
 
 def apply_target_means(
-    df: DataFrame,
-    means: DataFrame,
-    column: str,
-    overall: Column,
-    output: str,
-    limit: int = BROADCAST_BYTES,
+    df: DataFrame, means: TargetMeans, column: str, output: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add ``output``; null and unseen categories get the overall mean."""
-    joined = attach(df, means.select("label", "encoded"), column, limit)
-    return joined.withColumn(output, F.coalesce(F.col("encoded"), overall)).drop("encoded")
+    joined = attach(df, means.table.select("label", "encoded"), column, limit)
+    return joined.withColumn(output, F.coalesce(F.col("encoded"), means.overall)).drop("encoded")
