@@ -6,7 +6,18 @@ queries check splitting, labels, boosting and folds to the last row."""
 
 from pyspark.sql import functions as F
 
-from priceloom.catalog.base import FOLD_BUCKET, KEY, KEYS, SIGNAL_CTE, SPLIT_CASE, prop_signal, query
+from priceloom.catalog.base import (
+    FOLD_BUCKET,
+    KEY,
+    KEYS,
+    PROP_CTE,
+    SIGNAL_CTE,
+    SPLIT_CASE,
+    prop,
+    prop_signal,
+    query,
+)
+from priceloom.operators import split
 from priceloom.plans import recipes, report, tuning
 from priceloom.plans.boosting import Booster
 
@@ -74,8 +85,11 @@ def _stump_ctes(sides: str) -> str:
     )
 
 
+_TEST_SIDES = "select 0 as k, split = 'test' as held, * from keyed"
+
+
 @query(
-    _stump_ctes("select 0 as k, split = 'test' as held, * from keyed")
+    _stump_ctes(_TEST_SIDES)
     + f"select {KEYS}, round(p1 + 0.1 * p2, 6) as prediction from r2 where held"
 )
 def gbt_first_rounds(spark, sf_dir):
@@ -87,6 +101,26 @@ def gbt_first_rounds(spark, sf_dir):
     return scored.select(*KEY, F.round("prediction", 6).alias("prediction"))
 
 
+@query(
+    _stump_ctes(_TEST_SIDES)
+    + ", scored as (select y, p1 + 0.1 * p2 as p, exp(y) - 1 as price, exp(p1 + 0.1 * p2) - 1 as ep from r2 where held), "
+    "s as (select count(*) as n, 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) as r2_log, sqrt(avg((y - p) ** 2)) "
+    "as rmse_log, avg(abs(y - p)) as mae_log, 1 - sum((price - ep) ** 2) / (var_pop(price) * count(*)) as r2_original, "
+    "sqrt(avg((price - ep) ** 2)) as rmse_original from scored) "
+    "select n, round(r2_log, 6) as r2_log, round(rmse_log, 6) as rmse_log, round(mae_log, 6) as mae_log, "
+    "round(r2_original, 6) as r2_original, round(rmse_original, 4) as rmse_original, cast(3 as bigint) as feature_count, "
+    "round(1 - (1 - r2_log) * (n - 1) / (n - 4), 6) as adjusted_r2 from s"
+)
+def gbt_first_rounds_metrics(spark, sf_dir):
+    """Every score of the same model on its test rows."""
+    prepared = _stump_rows(spark, sf_dir)
+    fitted = recipes.fit(prepared)
+    prepared.release()
+    scores = fitted.evaluate(prepared.test)
+    digits = {c: 4 if c == "rmse_original" else 6 for c in scores.columns if c not in ("n", "feature_count")}
+    return scores.withColumns({c: F.round(c, d) for c, d in digits.items()})
+
+
 @query(
     _stump_ctes("select cast(r.k as bigint) as k, fold = r.k as held, keyed.* from keyed, range(5) r(k) where split = 'train'")
     + ", scored as (select k, max_iter, step_size, y, p1 + case when max_iter = 2 then step_size * p2 else 0 end as p "
@@ -103,6 +137,52 @@ def cv_scores_stumps(spark, sf_dir):
     return scores.withColumn("r2", F.round("r2", 6))
 
 
+_DERIVED = {
+    "living_area_squared": "living_area * living_area",
+    "bedrooms_squared": "bedrooms * bedrooms",
+    "bathrooms_squared": "cast(bathrooms as double) * bathrooms",
+    "land_area_squared": "cast(land_area as double) * land_area",
+    "living_land_ratio": "case when land_area > 0 then living_area / land_area else 0 end",
+    "bed_bath_ratio": "case when bathrooms > 0 then bedrooms / bathrooms else 0 end",
+    "area_per_bedroom": "case when bedrooms > 0 then living_area / bedrooms else 0 end",
+    "living_area_x_bathrooms": "living_area * bathrooms",
+    "bedrooms_x_bathrooms": "bedrooms * bathrooms",
+    "living_area_x_land_area": "living_area * land_area",
+}
+_PREPARED = (
+    f"with {PROP_CTE}, logged as (select {KEYS}, price, coalesce(living_area, 0) as living_area, bedrooms, bathrooms, "
+    f"land_area, property_type, city, ln(1 + price) as log_price, {SPLIT_CASE} as split from prop), "
+    "bounds as (select avg(log_price) - 3 * stddev_samp(log_price) as lower, "
+    "avg(log_price) + 3 * stddev_samp(log_price) as upper from logged) "
+)
+
+
+@query(
+    f"{_PREPARED} select {KEYS}, price, living_area, bedrooms, bathrooms, land_area, property_type, city, "
+    + "round(log_price, 6) as log_price, split, "
+    + ", ".join(f"round({sql}, 6) as {name}" for name, sql in _DERIVED.items())
+    + " from logged, bounds where log_price >= lower and log_price <= upper"
+)
+def prepared_rows(spark, sf_dir):
+    """The optimized program's preparation as a whole: filled, filtered, derived
+    and split rows as they enter the model."""
+    prepared = recipes.prepare(prop(spark, sf_dir), recipes.OPTIMIZED_RECIPE, row_key=KEY)
+    prepared.release()
+    return prepared.frame.withColumns({c: F.round(c, 6) for c in ("log_price", *_DERIVED)})
+
+
+@query(
+    f"with {PROP_CTE}, folds as (select cast({FOLD_BUCKET} as int) as fold, count(*) as n from prop "
+    f"where {SPLIT_CASE} = 'train' group by 1) select fold, cast((select sum(n) from folds) - n as bigint) as fit_rows, "
+    "n as held_rows, max_depth, max_iter, cast(step_size as double) as step_size from folds, "
+    "(values (3), (5), (7)) d(max_depth), (values (50), (100), (150)) i(max_iter), (values (0.05), (0.1)) s(step_size)"
+)
+def param_grid(spark, sf_dir):
+    """The published search grid over five folds, with the rows of each fit."""
+    train = split.with_split(prop(spark, sf_dir), KEY).filter(F.col(split.SPLIT) == "train")
+    return tuning.search_plan(train, KEY)
+
+
 @query()
 def gbt_basic(spark, sf_dir):
     """The basic program with its published settings; returns its report."""

@@ -20,9 +20,11 @@ from priceloom.operators.schema import LOG_TARGET, TARGET, ColumnPlan, plan_colu
 from priceloom.plans.boosting import BASIC, FEATURES, OPTIMIZED, Booster, assembler, feature_importances
 from priceloom.sources.scratch import ensure_checkpoint_dir, written
 
-# Rows one training task should hold. Tree building visits every partition
-# several times per tree, so few large partitions beat many small ones.
-ROWS_PER_TASK = 2_000_000
+# Rows a training task holds at least and at most. Tree building visits every
+# partition several times per tree, so few large partitions beat many small
+# ones: below the lower bound a task costs more to start than to run.
+MIN_ROWS_PER_TASK = 20_000
+MAX_ROWS_PER_TASK = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -105,16 +107,29 @@ def _profile(df: DataFrame, plan: ColumnPlan, recipe: Recipe):
 
 
 def _spread(df: DataFrame, rows: int) -> DataFrame:
-    """Partition the rows for many passes: enough partitions to use every core,
-    no more than the row count calls for. Only growing moves rows."""
+    """Partition the rows for many passes: every core busy once there are rows
+    enough for it, and no task above its bound. Only growing moves rows.
+    ``df`` is a scan with narrow steps, so its partitions are known up front."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    wanted = max(cores, -(-rows // ROWS_PER_TASK))
+    useful = min(cores, max(1, rows // MIN_ROWS_PER_TASK))
+    wanted = max(useful, -(-rows // MAX_ROWS_PER_TASK))
     current = df.rdd.getNumPartitions()
     if current == wanted:
         return df
     return df.coalesce(wanted) if current > wanted else df.repartition(wanted)
 
 
+def featurize(df: DataFrame, plan: ColumnPlan, recipe: Recipe) -> tuple[DataFrame, list[str]]:
+    """The row-wise steps: booleans to numbers, null fill, derived features.
+    Returns the rows and the numeric feature names."""
+    df = clean.booleans_as_numbers(df, plan)
+    if recipe.fill_nulls:
+        df = clean.fill_nulls(df, plan.numeric)
+    if not recipe.derive_features:
+        return df, list(plan.numeric)
+    return features.derive(df, plan.numeric)
+
+
 def prepare(
     df: DataFrame,
     recipe: Recipe,
@@ -134,20 +149,15 @@ def prepare(
         df.select(*dict.fromkeys(used))
         .transform(split.with_split, key, recipe.train_percent)
         .transform(clean.with_log_target, plan.target)
-        .transform(clean.booleans_as_numbers, plan)
     )
     stats = _profile(rows, plan, recipe)
 
     rows = clean.drop_unlabelled(rows)
-    if recipe.fill_nulls:
-        rows = clean.fill_nulls(rows, plan.numeric)
     if recipe.outlier_stats and stats["stddev"] is not None:
         width = clean.SIGMAS * stats["stddev"]
         lower, upper = stats["mean"] - width, stats["mean"] + width
         rows = rows.filter(clean.inside(LOG_TARGET, F.lit(lower), F.lit(upper)))
-    numeric = list(plan.numeric)
-    if recipe.derive_features:
-        rows, numeric = features.derive(rows, numeric)
+    rows, numeric = featurize(rows, plan, recipe)
 
     wide = [c for c in plan.categorical if stats[f"labels_{c}"] > recipe.max_stage_labels]
     rows = _spread(rows, stats["n_labelled"])
@@ -220,6 +230,12 @@ class Fitted:
         scored = self.model.transform(self.encoders.widen(df))
         return metrics.with_exp_prediction(scored)
 
+    def estimate(self, listings: DataFrame) -> DataFrame:
+        """Score listings as they come, with or without a known price: the
+        row-wise preparation is applied first, and no row counts as outlier."""
+        prepared, _ = featurize(listings, self.prepared.plan, self.prepared.recipe)
+        return self.score(prepared)
+
     def importances(self) -> DataFrame:
         spark = self.prepared.frame.sparkSession
         return feature_importances(spark, self.model, self.prepared.inputs)
@@ -257,6 +273,7 @@ __all__ = [
     "Fitted",
     "Prepared",
     "Recipe",
+    "featurize",
     "fit",
     "fit_encoders",
     "prepare",

@@ -22,6 +22,8 @@ def test_sections(tuned_report):
     sections = list(dict.fromkeys(r["section"] for r in tuned_report))
     assert sections == [
         "dataset",
+        "tuning",
+        "training",
         "log_scale",
         "original_scale",
         "importance",
@@ -44,6 +46,12 @@ def test_summary_repeats_the_top_features(tuned_report):
     assert weights == sorted(weights, reverse=True)
 
 
+def test_training_block(tuned_report):
+    best, done = values(tuned_report, "tuning"), values(tuned_report, "training")
+    assert done["boosting_rounds"] == best["max_iter"] and done["fit_seconds"] > 0
+    assert best["cv_r2"] == values(tuned_report, "stability")["cv_r2"]
+
+
 def test_stability_gap(tuned_report):
     block = values(tuned_report, "stability")
     assert block["gap"] == pytest.approx(abs(block["cv_r2"] - block["test_r2"]))

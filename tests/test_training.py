@@ -66,6 +66,15 @@ def test_scoring_keeps_every_test_row(optimized):
     assert gap < 1e-9
 
 
+def test_estimates_for_raw_listings(optimized, signal):
+    """Listings without a price get the same estimates as prepared test rows."""
+    raw = signal.drop("price").join(optimized.prepared.test.select(*KEY), list(KEY), "left_semi")
+    columns = [*KEY, "exp_prediction"]
+    estimates = optimized.estimate(raw).select(columns)
+    known = optimized.score(optimized.prepared.test).select(columns)
+    assert estimates.exceptAll(known).count() == 0 and estimates.count() == known.count()
+
+
 def test_basic_skips_rows_with_nulls(signal):
     prepared = recipes.prepare(signal, recipes.BASIC_RECIPE.with_(booster=TINY), row_key=KEY)
     fitted = recipes.fit(prepared)

@@ -65,8 +65,17 @@ def test_tune_refits_the_best_point(prepared):
     best = tuning.best_point(tuned.scores).first()
     trees = tuned.fitted.model.stages[-1]
     assert (trees.getMaxDepth(), trees.getNumTrees) == (best["max_depth"], best["max_iter"])
+    assert tuned.best == (best["max_depth"], best["max_iter"], best["step_size"])
     row = tuning.stability(tuned.fitted.evaluate(prepared.test), tuned.best_score).first()
     assert row["gap"] == pytest.approx(abs(row["cv_r2"] - row["test_r2"]))
     assert row["cv_r2"] == tuned.scores.groupBy("max_depth", "max_iter", "step_size").agg(
         F.avg("r2").alias("m")
     ).agg(F.max("m")).first()[0]
+
+
+def test_search_plan_accounts_for_every_row(prepared):
+    rows = tuning.search_plan(prepared.train, KEY, GRID, 3).collect()
+    total = prepared.train.count()
+    assert len(rows) == 8 * 3
+    assert all(r["fit_rows"] + r["held_rows"] == total for r in rows)
+    assert sum(r["held_rows"] for r in rows) == 8 * total
