@@ -50,8 +50,9 @@ def _quick(recipe, rounds=QUICK_ROUNDS):
 
 
 def _tree_sql(tree: str, rows: str, label: str) -> str:
-    """CTEs ``<tree>``: per k, the feature f, threshold thr and leaf means lo
-    and hi of the best split of ``label`` over the rows not held out."""
+    """CTEs ``<tree>``: per k, the feature f, threshold thr, leaf means lo and
+    hi, and gain (squared error removed) of the best split of ``label`` over the
+    rows not held out."""
     unpivot = " union all ".join(
         f"select k, {i} as f, cast({c} as double) as v, {label} as t from {rows} where not held"
         for i, c in enumerate(STUMP_FEATURES)
@@ -61,9 +62,10 @@ def _tree_sql(tree: str, rows: str, label: str) -> str:
         f"{tree}_cum as (select k, f, v, lead(v) over w as nv, sum(n) over w as nl, sum(s) over w as sl, "
         f"sum(n) over (partition by k, f) as nt, sum(s) over (partition by k, f) as st from {tree}_bins "
         "window w as (partition by k, f order by v)), "
-        f"{tree} as (select k, f, (v + nv) / 2 as thr, sl / nl as lo, (st - sl) / (nt - nl) as hi from {tree}_cum "
+        f"{tree} as (select k, f, (v + nv) / 2 as thr, sl / nl as lo, (st - sl) / (nt - nl) as hi, "
+        f"sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt as gain from {tree}_cum "
         "where nv is not null qualify row_number() over "
-        "(partition by k order by sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) desc) = 1)"
+        "(partition by k order by gain desc) = 1)"
     )
 
 
@@ -101,15 +103,21 @@ def gbt_first_rounds(spark, sf_dir):
     return scored.select(*KEY, F.round("prediction", 6).alias("prediction"))
 
 
-@query(
+# Scores of the two-round model on its test rows, one row.
+_STUMP_SCORES = (
     _stump_ctes(_TEST_SIDES)
     + ", scored as (select y, p1 + 0.1 * p2 as p, exp(y) - 1 as price, exp(p1 + 0.1 * p2) - 1 as ep from r2 where held), "
     "s as (select count(*) as n, 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) as r2_log, sqrt(avg((y - p) ** 2)) "
     "as rmse_log, avg(abs(y - p)) as mae_log, 1 - sum((price - ep) ** 2) / (var_pop(price) * count(*)) as r2_original, "
-    "sqrt(avg((price - ep) ** 2)) as rmse_original from scored) "
-    "select n, round(r2_log, 6) as r2_log, round(rmse_log, 6) as rmse_log, round(mae_log, 6) as mae_log, "
+    "sqrt(avg((price - ep) ** 2)) as rmse_original from scored), "
+    "a as (select *, 1 - (1 - r2_log) * (n - 1) / (n - 4) as adjusted_r2 from s) "
+)
+
+
+@query(
+    f"{_STUMP_SCORES} select n, round(r2_log, 6) as r2_log, round(rmse_log, 6) as rmse_log, round(mae_log, 6) as mae_log, "
     "round(r2_original, 6) as r2_original, round(rmse_original, 4) as rmse_original, cast(3 as bigint) as feature_count, "
-    "round(1 - (1 - r2_log) * (n - 1) / (n - 4), 6) as adjusted_r2 from s"
+    "round(adjusted_r2, 6) as adjusted_r2 from a"
 )
 def gbt_first_rounds_metrics(spark, sf_dir):
     """Every score of the same model on its test rows."""
@@ -121,13 +129,83 @@ def gbt_first_rounds_metrics(spark, sf_dir):
     return scores.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
 
+# A feature's importance is its share of the squared error all splits remove.
+_STUMP_IMPORTANCES = (
+    ", names as (select * from (values "
+    + ", ".join(f"({i}, '{name}')" for i, name in enumerate(STUMP_FEATURES))
+    + ") v(f, feature)), removed as (select f, gain from t1 union all select f, gain from t2), "
+    "weights as (select feature, f, coalesce(sum(gain), 0) / (select sum(gain) from removed) as importance "
+    "from names left join removed using (f) group by feature, f), "
+    "ranked as (select feature, importance, cast(row_number() over (order by importance desc, f) as int) as rank from weights) "
+)
+
+
 @query(
-    _stump_ctes("select cast(r.k as bigint) as k, fold = r.k as held, keyed.* from keyed, range(5) r(k) where split = 'train'")
-    + ", scored as (select k, max_iter, step_size, y, p1 + case when max_iter = 2 then step_size * p2 else 0 end as p "
+    _stump_ctes(_TEST_SIDES)
+    + _STUMP_IMPORTANCES
+    + "select rank, feature, round(importance, 6) as importance from ranked"
+)
+def gbt_first_rounds_importance(spark, sf_dir):
+    """Ranked importances of the same model."""
+    prepared = _stump_rows(spark, sf_dir)
+    fitted = recipes.fit(prepared)
+    prepared.release()
+    ranked = report.importance_topk(fitted.importances())
+    return ranked.withColumn("importance", F.round("importance", 6))
+
+
+def _report_sql() -> str:
+    sizes = "(select count(*) from keyed where split = '{}')"
+    blocks = {
+        "dataset": [
+            ("rows", "(select count(*) from keyed)"),
+            ("columns", "8"),
+            ("numeric_features", "3"),
+            ("categorical_features", "0"),
+            ("unlabelled_rows", "0"),
+            ("outlier_rows", "0"),
+            ("train_rows", sizes.format("train")),
+            ("test_rows", sizes.format("test")),
+            ("scored_rows", "n"),
+        ],
+        "training": [("boosting_rounds", "2")],
+        "log_scale": [("r2", "r2_log"), ("rmse", "rmse_log"), ("mae", "mae_log")],
+        "original_scale": [("r2", "r2_original"), ("rmse", "rmse_original")],
+        "advanced": [("adjusted_r2", "adjusted_r2"), ("feature_count", "3")],
+    }
+    rows = [
+        f"select '{section}' as section, {i} as position, '{metric}' as metric, round(cast({sql} as double), 4) as value from a"
+        for section, lines in blocks.items()
+        for i, (metric, sql) in enumerate(lines, start=1)
+    ]
+    rows.append("select 'importance', rank, feature, round(importance, 4) from ranked")
+    return f"{_STUMP_SCORES} {_STUMP_IMPORTANCES} " + " union all ".join(rows)
+
+
+@query(_report_sql())
+def report_first_rounds(spark, sf_dir):
+    """The whole report of the same model, its fit time aside."""
+    rows = prop_signal(spark, sf_dir).select(*KEY, "price", *STUMP_FEATURES)
+    lines = report.run(rows, STUMP_RECIPE, row_key=KEY).filter("metric <> 'fit_seconds'")
+    return lines.withColumn("value", F.round("value", 4))
+
+
+_FOLD_SIDES = (
+    "select cast(r.k as bigint) as k, fold = r.k as held, keyed.* from keyed, range(5) r(k) where split = 'train'"
+)
+# Every (k, max_iter, step_size) with the R2 on the rows k holds out.
+_STUMP_R2 = (
+    ", scored as (select k, max_iter, step_size, y, p1 + case when max_iter = 2 then step_size * p2 else 0 end as p "
     "from r2, (values (1), (2)) n(max_iter), (values (cast(0.05 as double)), (cast(0.1 as double))) s(step_size) "
-    "where held) "
-    "select 1 as max_depth, max_iter, step_size, cast(k as int) as fold, "
-    "round(1 - avg((y - p) ** 2) / var_pop(y), 6) as r2 from scored group by k, max_iter, step_size"
+    "where held), per as (select k, max_iter, step_size, 1 - avg((y - p) ** 2) / var_pop(y) as score from scored "
+    "group by k, max_iter, step_size) "
+)
+
+
+@query(
+    _stump_ctes(_FOLD_SIDES)
+    + _STUMP_R2
+    + "select 1 as max_depth, max_iter, step_size, cast(k as int) as fold, round(score, 6) as r2 from per"
 )
 def cv_scores_stumps(spark, sf_dir):
     """Five folds over a grid of depth-1 models, every score checked."""
@@ -137,6 +215,23 @@ def cv_scores_stumps(spark, sf_dir):
     return scores.withColumn("r2", F.round("r2", 6))
 
 
+@query(
+    _stump_ctes(f"{_FOLD_SIDES} union all select 5, split = 'test', * from keyed")
+    + _STUMP_R2
+    + ", means as (select max_iter, step_size, avg(score) as mean from per where k < 5 group by max_iter, step_size), "
+    "best as (select * from means order by mean desc, max_iter, step_size limit 1) "
+    "select round(mean, 6) as cv_r2, round(score, 6) as test_r2, round(abs(mean - score), 6) as gap "
+    "from best join per using (max_iter, step_size) where k = 5"
+)
+def cv_stability_stumps(spark, sf_dir):
+    """The same search, its winner refitted on all training rows and tested."""
+    prepared = _stump_rows(spark, sf_dir)
+    tuned = tuning.tune(prepared, STUMP_GRID)
+    prepared.release()
+    gap = tuning.stability(tuned.fitted.evaluate(prepared.test), tuned.best_score)
+    return gap.select(*[F.round(c, 6).alias(c) for c in gap.columns])
+
+
 _DERIVED = {
     "living_area_squared": "living_area * living_area",
     "bedrooms_squared": "bedrooms * bedrooms",
