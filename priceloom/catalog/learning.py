@@ -246,7 +246,8 @@ _DERIVED = {
 }
 _PREPARED = (
     f"with {PROP_CTE}, logged as (select {KEYS}, price, coalesce(living_area, 0) as living_area, bedrooms, bathrooms, "
-    f"land_area, property_type, city, ln(1 + price) as log_price, {SPLIT_CASE} as split from prop), "
+    f"land_area, property_type, city, ln(1 + price) as log_price, {SPLIT_CASE} as split, "
+    f"cast({FOLD_BUCKET} as int) as fold from prop), "
     "bounds as (select avg(log_price) - 3 * stddev_samp(log_price) as lower, "
     "avg(log_price) + 3 * stddev_samp(log_price) as upper from logged) "
 )
@@ -254,7 +255,7 @@ _PREPARED = (
 
 @query(
     f"{_PREPARED} select {KEYS}, price, living_area, bedrooms, bathrooms, land_area, property_type, city, "
-    + "round(log_price, 6) as log_price, split, "
+    + "round(log_price, 6) as log_price, split, fold, "
     + ", ".join(f"round({sql}, 6) as {name}" for name, sql in _DERIVED.items())
     + " from logged, bounds where log_price >= lower and log_price <= upper"
 )
@@ -319,8 +320,8 @@ def cv_scores(spark, sf_dir):
 @query()
 def cv_stability(spark, sf_dir):
     """Best cross-validation R2 against the R2 of its refit on test rows."""
-    prepared = _prepared(spark, sf_dir, recipes.TUNED_RECIPE)
-    tuned = tuning.tune(prepared, SMALL_GRID, SMALL_FOLDS)
+    prepared = _prepared(spark, sf_dir, recipes.TUNED_RECIPE.with_(folds=SMALL_FOLDS))
+    tuned = tuning.tune(prepared, SMALL_GRID)
     prepared.release()
     return tuning.stability(tuned.fitted.evaluate(prepared.test), tuned.best_score)
 
@@ -328,6 +329,5 @@ def cv_stability(spark, sf_dir):
 @query()
 def summary_report(spark, sf_dir):
     """The tuned program's whole report, stability and summary included."""
-    return report.run(
-        prop_signal(spark, sf_dir), recipes.TUNED_RECIPE, row_key=KEY, grid=SMALL_GRID, folds=SMALL_FOLDS
-    )
+    recipe = recipes.TUNED_RECIPE.with_(folds=SMALL_FOLDS)
+    return report.run(prop_signal(spark, sf_dir), recipe, row_key=KEY, grid=SMALL_GRID)

@@ -32,7 +32,8 @@ class Recipe:
     """Which steps a training program runs.
 
     ``outlier_stats`` is where the outlier bounds come from: ``all`` rows, only
-    the ``train`` rows, or None for no filter. ``storage`` is how the prepared
+    the ``train`` rows, or None for no filter. ``folds`` is how many parts the
+    training rows fall into for cross-validation. ``storage`` is how the prepared
     rows are kept between passes: ``persist`` (executor memory and disk) or
     ``table`` (Parquet in the shared folder, for more rows than executors hold
     and for jobs that must not recompute after losing one)."""
@@ -43,6 +44,7 @@ class Recipe:
     outlier_stats: str | None
     derive_features: bool
     train_percent: int = split.TRAIN_PERCENT
+    folds: int = split.FOLDS
     max_stage_labels: int = encode.MAX_STAGE_LABELS
     storage: str = "persist"
 
@@ -59,12 +61,11 @@ RECIPES = {r.name: r for r in (BASIC_RECIPE, OPTIMIZED_RECIPE, TUNED_RECIPE)}
 
 @dataclass(frozen=True)
 class Prepared:
-    """Stored rows with a split column, ready for any number of fits."""
+    """Stored rows with split and fold columns, ready for any number of fits."""
 
     frame: DataFrame
     plan: ColumnPlan
     recipe: Recipe
-    key: tuple[str, ...]
     numeric: tuple[str, ...]
     stage_categories: tuple[str, ...]
     wide_categories: tuple[str, ...]
@@ -109,14 +110,20 @@ def _profile(df: DataFrame, plan: ColumnPlan, recipe: Recipe):
 def _spread(df: DataFrame, rows: int) -> DataFrame:
     """Partition the rows for many passes: every core busy once there are rows
     enough for it, and no task above its bound. Only growing moves rows.
-    ``df`` is a scan with narrow steps, so its partitions are known up front."""
+    ``df`` is a scan with narrow steps, so its partitions are known up front.
+
+    Boosting pairs rows with their errors by position, so a partition that is
+    computed again after an executor is lost must come back in the same order.
+    Scans do; rows that were moved are therefore sorted within partitions."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     useful = min(cores, max(1, rows // MIN_ROWS_PER_TASK))
     wanted = max(useful, -(-rows // MAX_ROWS_PER_TASK))
     current = df.rdd.getNumPartitions()
     if current == wanted:
         return df
-    return df.coalesce(wanted) if current > wanted else df.repartition(wanted)
+    if current > wanted:
+        return df.coalesce(wanted)
+    return df.repartition(wanted).sortWithinPartitions(*df.columns)
 
 
 def featurize(df: DataFrame, plan: ColumnPlan, recipe: Recipe) -> tuple[DataFrame, list[str]]:
@@ -139,15 +146,18 @@ def prepare(
     """Plan the columns, clean, derive, split, and store the result.
 
     ``row_key`` names integer or string columns that identify a row; they drive
-    the split and are no features. Without one, every column that is neither
-    floating point nor a time is hashed, so rows that agree on all of those
-    stay on one side."""
+    the split and the folds and are no features. Without one the whole row is
+    hashed, so only exact copies are sure to stay on one side."""
     plan = plan_columns(df.schema, target, row_key)
-    key = list(row_key) or _default_key(df, plan)
-    used = [*row_key, plan.target, *plan.numeric, *plan.categorical]
+    used = list(dict.fromkeys([*row_key, plan.target, *plan.numeric, *plan.categorical]))
+    reserved = {split.SPLIT, split.FOLD} & set(used)
+    if reserved:
+        raise ValueError(f"rename these input columns, the split uses their names: {sorted(reserved)}")
+    key = list(row_key) or used
     rows = (
-        df.select(*dict.fromkeys(used))
+        df.select(*used)
         .transform(split.with_split, key, recipe.train_percent)
+        .transform(split.with_fold, key, recipe.folds)
         .transform(clean.with_log_target, plan.target)
     )
     stats = _profile(rows, plan, recipe)
@@ -157,10 +167,10 @@ def prepare(
         width = clean.SIGMAS * stats["stddev"]
         lower, upper = stats["mean"] - width, stats["mean"] + width
         rows = rows.filter(clean.inside(LOG_TARGET, F.lit(lower), F.lit(upper)))
+    rows = _spread(rows, stats["n_labelled"])
     rows, numeric = featurize(rows, plan, recipe)
 
     wide = [c for c in plan.categorical if stats[f"labels_{c}"] > recipe.max_stage_labels]
-    rows = _spread(rows, stats["n_labelled"])
     if recipe.storage == "table":
         rows = written(rows, "prepared")
     else:
@@ -169,7 +179,6 @@ def prepare(
         frame=rows,
         plan=plan,
         recipe=recipe,
-        key=tuple(key),
         numeric=tuple(numeric),
         stage_categories=tuple(c for c in plan.categorical if c not in wide),
         wide_categories=tuple(wide),
@@ -179,15 +188,6 @@ def prepare(
     )
 
 
-def _default_key(df: DataFrame, plan: ColumnPlan) -> list[str]:
-    inexact = ("float", "double", "decimal")
-    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
-    named = [c for c in (plan.target, *plan.numeric, *plan.categorical) if types[c] not in inexact]
-    if not named:
-        raise ValueError("no integer or string column to split by; pass row_key")
-    return named
-
-
 @dataclass(frozen=True)
 class Encoders:
     """Category encoders fitted on one set of training rows."""

@@ -8,10 +8,10 @@ from priceloom.plans import recipes, report, tuning
 
 @pytest.fixture(scope="module")
 def tuned_report(spark):
-    recipe = recipes.TUNED_RECIPE
+    recipe = recipes.TUNED_RECIPE.with_(folds=2)
     grid = tuning.Grid(max_depth=(2,), max_iter=(2, 3), step_size=(0.3,))
     df = prop_signal(spark, "/root/testdata/sf0.001")
-    return report.run(df, recipe, row_key=KEY, grid=grid, folds=2).collect()
+    return report.run(df, recipe, row_key=KEY, grid=grid).collect()
 
 
 def values(rows, section):

@@ -141,9 +141,19 @@ def test_stored_as_a_table(signal):
     kept.release()
 
 
-def test_default_key_needs_an_exact_column(spark):
-    df = spark.createDataFrame([(1.0, 2.0)], "price double, area double")
-    with pytest.raises(ValueError):
+def test_without_a_key_the_whole_row_is_hashed(spark):
+    df = spark.range(4000).selectExpr("id / 7 as price", "rand(3) as area")
+    twice = df.union(df)
+    prepared = recipes.prepare(twice, recipes.BASIC_RECIPE.with_(booster=TINY))
+    sides = prepared.frame.groupBy("price", "area").agg(F.countDistinct("split").alias("n"))
+    assert sides.filter("n > 1").count() == 0
+    assert abs(prepared.train.count() / 8000 - 0.8) < 0.03
+    prepared.release()
+
+
+def test_reserved_column_names_raise(spark):
+    df = spark.createDataFrame([(1.0, 2)], "price double, fold int")
+    with pytest.raises(ValueError, match="fold"):
         recipes.prepare(df, recipes.BASIC_RECIPE)
 
 
@@ -175,3 +185,21 @@ def test_same_result_for_any_input_layout(spark, signal):
     assert a.frame.count() == b.frame.count()
     a.release()
     b.release()
+
+
+def test_a_repeated_run_gives_the_same_model(signal):
+    predictions = []
+    for _ in range(2):
+        prepared = recipes.prepare(signal, recipes.OPTIMIZED_RECIPE.with_(booster=TINY), row_key=KEY)
+        scored = recipes.fit(prepared).score(prepared.test)
+        predictions.append(scored.select(*KEY, "prediction").toPandas().sort_values(list(KEY)).to_numpy().tolist())
+        prepared.release()
+    assert predictions[0] == predictions[1]
+
+
+def test_moved_rows_are_ordered_within_partitions(spark, plan_of):
+    few = spark.range(200_000).selectExpr("id", "id % 13 as price").coalesce(1)
+    spread = recipes._spread(few, 200_000)
+    assert spread.rdd.getNumPartitions() == 4
+    assert "Sort [id#" in plan_of(spread)
+    assert recipes._spread(spark.range(0, 100, 1, 8), 100).rdd.getNumPartitions() == 1

@@ -14,7 +14,7 @@ GRID = tuning.Grid(max_depth=(1, 3), max_iter=(2, 4), step_size=(0.1, 0.3))
 
 @pytest.fixture(scope="module")
 def prepared(spark):
-    recipe = recipes.TUNED_RECIPE.with_(booster=BASE)
+    recipe = recipes.TUNED_RECIPE.with_(booster=BASE, folds=3)
     prepared = recipes.prepare(prop_signal(spark, "/root/testdata/sf0.001"), recipe, row_key=KEY)
     yield prepared
     prepared.release()
@@ -30,13 +30,14 @@ def test_published_grid(spark):
 
 def test_same_scores_as_spark_cross_validator(spark, prepared):
     """The shared-prefix search against one fit per grid point and fold."""
-    scores = tuning.cross_validate(prepared, GRID, folds=3)
+    scores = tuning.cross_validate(prepared, GRID)
     assert scores.count() == 8 * 3
     mine = {
         (r["max_depth"], r["max_iter"], r["step_size"]): r["mean_r2"] for r in tuning.mean_scores(scores).collect()
     }
 
-    train = split.with_fold(prepared.train, KEY, 3)
+    train = prepared.train
+    assert train.exceptAll(split.with_fold(train, KEY, 3)).count() == 0
     encoders = recipes.fit_encoders(prepared, train)
     vectors = recipes.vectors(prepared, encoders, train).select("features", "log_price", "fold")
     trees = BASE.estimator(max_arity=encoders.max_arity)
@@ -61,7 +62,7 @@ def test_best_point_prefers_the_smaller_model_on_ties(spark):
 
 
 def test_tune_refits_the_best_point(prepared):
-    tuned = tuning.tune(prepared, GRID, folds=2)
+    tuned = tuning.tune(prepared, GRID)
     best = tuning.best_point(tuned.scores).first()
     trees = tuned.fitted.model.stages[-1]
     assert (trees.getMaxDepth(), trees.getNumTrees) == (best["max_depth"], best["max_iter"])
