@@ -36,9 +36,9 @@ def _codes(df, columns):
 
 @query(_indexed_sql(_INDEXED, cte("prop", (*PROP, _CONDITION))))
 def category_index(spark, sf_dir):
-    """Bounded label sets, one of them with nulls, through one indexer."""
+    """Bounded label sets, one of them with nulls, counted in one pass."""
     df = prop(spark, sf_dir, _CONDITION)
-    return _codes(encode.string_indexer(_INDEXED).fit(df).transform(df), _INDEXED)
+    return _codes(encode.index_categories(df, encode.fit_indexers(df, _INDEXED)), _INDEXED)
 
 
 @query(_indexed_sql(("street",), cte("prop", (*PROP, _STREET))))
@@ -73,7 +73,7 @@ _VECTOR = (
 def feature_vector(spark, sf_dir):
     """Numeric features, then indexed categories; rows with nulls skipped."""
     df = prop(spark, sf_dir)
-    indexed = encode.string_indexer(CATEGORICAL).fit(df).transform(df)
+    indexed = encode.index_categories(df, encode.fit_indexers(df, CATEGORICAL))
     inputs = [*NUMERIC, *[encode.indexed_name(c) for c in CATEGORICAL]]
     vectors = assembler(inputs).transform(indexed)
     return vectors.select(*KEY, F.posexplode(vector_to_array(FEATURES)).alias("feature_index", "value"))

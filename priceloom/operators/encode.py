@@ -2,7 +2,7 @@
 
 Both build a table with one row per label by a partially aggregated groupBy, so
 a label that holds a third of all rows is folded up before the shuffle. Bounded
-label sets go through Spark ML's StringIndexer; any larger set through
+label sets become Spark ML indexer stages; any larger set goes through
 :func:`frequency_index` and :func:`attach`, which give the same numbers."""
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,15 +43,40 @@ def approx_labels(columns: Sequence[str]) -> list[Column]:
     return [F.approx_count_distinct(c).alias(f"labels_{c}") for c in columns]
 
 
-def string_indexer(columns: Sequence[str]) -> StringIndexer:
-    """One indexer for all columns: most frequent label first, equal counts in
-    label order, null and unseen labels share the index after the last."""
-    return StringIndexer(
-        inputCols=list(columns),
-        outputCols=[indexed_name(c) for c in columns],
-        handleInvalid="keep",
-        stringOrderType="frequencyDesc",
+def stage_labels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Labels per column, most frequent first, equal counts in label order.
+
+    One pass for all columns: every row turns into its (column, label) pairs,
+    which are counted map-side, so a task sends one row per distinct label. Only
+    for columns within MAX_STAGE_LABELS, as the labels come to the driver."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).alias("label")) for i, c in enumerate(columns)])
+    counted = (
+        df.select(F.inline(pairs))
+        .filter(F.col("label").isNotNull())
+        .groupBy("at", "label")
+        .agg(F.count("*").alias("n"))
+        .orderBy("at", F.desc("n"), "label")
     )
+    labels: dict[str, list[str]] = {c: [] for c in columns}
+    for row in counted.collect():
+        labels[columns[row["at"]]].append(row["label"])
+    return labels
+
+
+def fit_indexers(df: DataFrame, columns: Sequence[str]) -> list[StringIndexerModel]:
+    """One fitted indexer stage per column; null and unseen labels share the
+    index after the last. The same models as fitting StringIndexer, whose fit
+    sends every task's label table to a single task."""
+    return [
+        StringIndexerModel.from_labels(labels, column, indexed_name(column), handleInvalid="keep")
+        for column, labels in stage_labels(df, columns).items()
+    ]
+
+
+def index_categories(df: DataFrame, indexers: Sequence[StringIndexerModel]) -> DataFrame:
+    for indexer in indexers:
+        df = indexer.transform(df)
+    return df
 
 
 def frequency_index(df: DataFrame, column: str) -> DataFrame:

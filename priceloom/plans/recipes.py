@@ -204,15 +204,12 @@ class Encoders:
 
 
 def fit_encoders(prepared: Prepared, train: DataFrame) -> Encoders:
-    """Fit all indexers on ``train``. Columns within the label bound share one
-    StringIndexer pass and reach the trees as nominal features; wider columns
-    get the same numbering from a distributed table and act as ordered numbers."""
-    stages: tuple = ()
-    arity = 0
-    if prepared.stage_categories:
-        model = encode.string_indexer(prepared.stage_categories).fit(train)
-        arity = 1 + max(len(labels) for labels in model.labelsArray)
-        stages = (model,)
+    """Fit all indexers on ``train``. Columns within the label bound are counted
+    in one pass and reach the trees as nominal features; wider columns get the
+    same numbering from a distributed table and act as ordered numbers."""
+    narrow = prepared.stage_categories
+    stages = tuple(encode.fit_indexers(train, narrow)) if narrow else ()
+    arity = max((1 + len(stage.labels) for stage in stages), default=0)
     wide = {c: encode.frequency_index(train, c) for c in prepared.wide_categories}
     return Encoders(stages, wide, arity)
 
@@ -257,9 +254,7 @@ def fit(prepared: Prepared, booster: Booster | None = None) -> Fitted:
 
 def vectors(prepared: Prepared, encoders: Encoders, df: DataFrame) -> DataFrame:
     """``df`` with its ``features`` vector, before any model is fitted."""
-    encoded = encoders.widen(df)
-    for stage in encoders.stages:
-        encoded = stage.transform(encoded)
+    encoded = encode.index_categories(encoders.widen(df), encoders.stages)
     return assembler(prepared.inputs).transform(encoded)
 
 

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from priceloom.operators import encode
@@ -12,11 +13,23 @@ def cats(spark):
 
 
 def test_stage_index(spark, cats):
-    model = encode.string_indexer(["k"]).fit(cats)
+    (model,) = encode.fit_indexers(cats, ["k"])
     unseen = spark.createDataFrame([("a",), ("b",), ("c",), (None,), ("zz",)], "k string")
     assert [r["k_indexed"] for r in model.transform(unseen).collect()] == [0.0, 1.0, 2.0, 3.0, 3.0]
 
 
+def test_same_models_as_the_built_in_fit(spark, skewed):
+    df = skewed.selectExpr("k", "concat('m', id % 4) as m", "cast(null as string) as nothing")
+    mine = encode.fit_indexers(df, df.columns)
+    names = [encode.indexed_name(c) for c in df.columns]
+    built_in = StringIndexer(inputCols=df.columns, outputCols=names, handleInvalid="keep").fit(df)
+    assert [list(m.labels) for m in mine] == [list(labels) for labels in built_in.labelsArray]
+    a, b = encode.index_categories(df, mine), built_in.transform(df)
+    assert a.exceptAll(b).count() == 0 and a.columns == b.columns
+    for name in names:
+        assert a.schema[name].metadata == b.schema[name].metadata
+
+
 def test_distributed_index_gives_the_same_numbers(spark, cats):
     table = encode.frequency_index(cats, "k")
     unseen = spark.createDataFrame([("a",), ("b",), ("c",), (None,), ("zz",)], "k string")
@@ -37,7 +50,7 @@ def skewed(spark):
 @pytest.mark.parametrize("limit", [encode.BROADCAST_BYTES, 0])
 def test_both_lookups_agree_with_the_stage(skewed, limit):
     train = skewed.filter("id % 5 < 4")
-    stage = encode.string_indexer(["k"]).fit(train).transform(skewed)
+    stage = encode.index_categories(skewed, encode.fit_indexers(train, ["k"]))
     wide = encode.apply_index(skewed, encode.frequency_index(train, "k"), "k", limit)
     assert wide.columns == [*skewed.columns, "k_indexed"]
     want = {r["id"]: r["k_indexed"] for r in stage.collect()}
