@@ -117,8 +117,9 @@ def attach(df: DataFrame, labels: DataFrame, column: str, limit: int = BROADCAST
 def apply_index(df: DataFrame, index: DataFrame, column: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``<column>_indexed`` from a :func:`frequency_index` table."""
     spare = index.agg(F.count("*").cast("double").alias("spare")).scalar()
-    joined = attach(df, index.select("label", "index"), column, limit)
-    return joined.withColumn(indexed_name(column), F.coalesce(F.col("index"), spare)).drop("index")
+    output = indexed_name(column)
+    joined = attach(df, index.select("label", F.col("index").alias(output)), column, limit)
+    return joined.withColumn(output, F.coalesce(F.col(output), spare))
 
 
 @dataclass(frozen=True)
@@ -158,5 +159,5 @@ def apply_target_means(
     df: DataFrame, means: TargetMeans, column: str, output: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add ``output``; null and unseen categories get the overall mean."""
-    joined = attach(df, means.table.select("label", "encoded"), column, limit)
-    return joined.withColumn(output, F.coalesce(F.col("encoded"), means.overall)).drop("encoded")
+    joined = attach(df, means.table.select("label", F.col("encoded").alias(output)), column, limit)
+    return joined.withColumn(output, F.coalesce(F.col(output), means.overall))

@@ -20,6 +20,9 @@ from priceloom.operators.schema import LOG_TARGET, TARGET, ColumnPlan, plan_colu
 from priceloom.plans.boosting import BASIC, FEATURES, OPTIMIZED, Booster, assembler, feature_importances
 from priceloom.sources.scratch import ensure_checkpoint_dir, written
 
+# Columns the program adds under fixed names; an input may not bring its own.
+RESERVED = {split.SPLIT, split.FOLD, FEATURES, metrics.PREDICTION, metrics.EXP_PREDICTION}
+
 # Rows a training task holds at least and at most. Tree building visits every
 # partition several times per tree, so few large partitions beat many small
 # ones: below the lower bound a task costs more to start than to run.
@@ -150,9 +153,9 @@ def prepare(
     hashed, so only exact copies are sure to stay on one side."""
     plan = plan_columns(df.schema, target, row_key)
     used = list(dict.fromkeys([*row_key, plan.target, *plan.numeric, *plan.categorical]))
-    reserved = {split.SPLIT, split.FOLD} & set(used)
+    reserved = RESERVED & set(used)
     if reserved:
-        raise ValueError(f"rename these input columns, the split uses their names: {sorted(reserved)}")
+        raise ValueError(f"rename these input columns, the program adds columns of that name: {sorted(reserved)}")
     key = list(row_key) or used
     rows = (
         df.select(*used)
@@ -196,11 +199,13 @@ class Encoders:
     wide: dict[str, DataFrame]
     max_arity: int
 
-    def widen(self, df: DataFrame) -> DataFrame:
-        """Index the categories that are too many for a model stage."""
+    def widen(self, df: DataFrame, stored: bool = False) -> DataFrame:
+        """Index the categories that are too many for a model stage. With
+        ``stored`` the looked-up rows are written to the shared folder: a fit
+        reads them several times, and always in the same order."""
         for column, table in self.wide.items():
             df = encode.apply_index(df, table, column)
-        return df
+        return written(df, "widened") if stored and self.wide else df
 
 
 def fit_encoders(prepared: Prepared, train: DataFrame) -> Encoders:
@@ -249,12 +254,12 @@ def fit(prepared: Prepared, booster: Booster | None = None) -> Fitted:
     encoders = fit_encoders(prepared, prepared.train)
     trees = (booster or prepared.recipe.booster).estimator(max_arity=encoders.max_arity)
     pipeline = Pipeline(stages=[*encoders.stages, assembler(prepared.inputs), trees])
-    return Fitted(prepared, encoders, pipeline.fit(encoders.widen(prepared.train)))
+    return Fitted(prepared, encoders, pipeline.fit(encoders.widen(prepared.train, stored=True)))
 
 
-def vectors(prepared: Prepared, encoders: Encoders, df: DataFrame) -> DataFrame:
+def vectors(prepared: Prepared, encoders: Encoders, df: DataFrame, stored: bool = False) -> DataFrame:
     """``df`` with its ``features`` vector, before any model is fitted."""
-    encoded = encode.index_categories(encoders.widen(df), encoders.stages)
+    encoded = encode.index_categories(encoders.widen(df, stored), encoders.stages)
     return assembler(prepared.inputs).transform(encoded)
 
 

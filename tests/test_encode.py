@@ -94,3 +94,14 @@ def test_approx_labels_share_one_pass(skewed):
     row = skewed.agg(*encode.approx_labels(["k"])).first()
     exact = skewed.agg(F.countDistinct("k")).first()[0]
     assert abs(row["labels_k"] / exact - 1) < 0.15
+
+
+@pytest.mark.parametrize("limit", [encode.BROADCAST_BYTES, 0])
+def test_helper_names_may_occur_in_the_data(skewed, limit):
+    df = skewed.selectExpr("id", "k", "y", "id as index", "id as label", "id as n", "id as encoded", "id as total")
+    indexed = encode.apply_index(df, encode.frequency_index(df, "k"), "k", limit)
+    means = encode.target_means(df, "k", "y")
+    out = encode.apply_target_means(indexed, means, "k", "k_mean", limit)
+    assert out.columns == [*df.columns, "k_indexed", "k_mean"]
+    assert out.count() == 6000
+    assert out.filter("index = id and label = id and n = id and encoded = id").count() == 6000

@@ -32,6 +32,12 @@ def test_first_readable_path_wins(spark, csv_file, tmp_path):
     assert df.columns == ["price", "rooms", "kind"]
 
 
+def test_fallback_with_a_schema(spark, csv_file, tmp_path):
+    schema = "price double, rooms int, kind string"
+    df = sources.read_first(spark, [str(tmp_path / "absent.csv"), csv_file], schema=schema)
+    assert df.dtypes == [("price", "double"), ("rooms", "int"), ("kind", "string")] and df.count() == 2
+
+
 def test_unreachable_file_system_falls_back(spark, csv_file):
     df = sources.read_first(spark, ["hdfs://no-such-namenode.invalid:8020/data.csv", csv_file])
     assert df.count() == 2

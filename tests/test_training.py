@@ -5,10 +5,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from priceloom.catalog.base import KEY, prop_signal
-from priceloom.plans import recipes
+from priceloom.plans import recipes, tuning
 from priceloom.plans.boosting import BASIC, OPTIMIZED, Booster
 
 QUICK = Booster(max_iter=10, max_depth=5, step_size=0.1, subsampling_rate=0.8, feature_subset="all", max_bins=32)
+GRID = tuning.Grid(max_depth=(2,), max_iter=(2,), step_size=(0.1,))
 TINY = QUICK.with_(max_iter=2, max_depth=2)
 
 
@@ -128,6 +129,8 @@ def test_wide_categories_give_the_same_vectors(spark, signal):
     assert frames[0].exceptAll(frames[1]).count() == 0 and frames[0].count() == frames[1].count()
     fitted = recipes.fit(wide, TINY)
     assert fitted.score(wide.test).count() == wide.test.count()
+    scores = tuning.cross_validate(wide, GRID)
+    assert scores.count() == 5 and scores.filter("r2 is null").count() == 0
     narrow.release()
     wide.release()
 
