@@ -106,7 +106,8 @@ def gbt_first_rounds(spark, sf_dir):
 # Scores of the two-round model on its test rows, one row.
 _STUMP_SCORES = (
     _stump_ctes(_TEST_SIDES)
-    + ", scored as (select y, p1 + 0.1 * p2 as p, exp(y) - 1 as price, exp(p1 + 0.1 * p2) - 1 as ep from r2 where held), "
+    + ", scored as (select y, p1 + 0.1 * p2 as p, exp(y) - 1 as price, exp(p1 + 0.1 * p2) - 1 as ep "
+    "from r2 where held), "
     "s as (select count(*) as n, 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) as r2_log, sqrt(avg((y - p) ** 2)) "
     "as rmse_log, avg(abs(y - p)) as mae_log, 1 - sum((price - ep) ** 2) / (var_pop(price) * count(*)) as r2_original, "
     "sqrt(avg((price - ep) ** 2)) as rmse_original from scored), "
@@ -115,8 +116,9 @@ _STUMP_SCORES = (
 
 
 @query(
-    f"{_STUMP_SCORES} select n, round(r2_log, 6) as r2_log, round(rmse_log, 6) as rmse_log, round(mae_log, 6) as mae_log, "
-    "round(r2_original, 6) as r2_original, round(rmse_original, 4) as rmse_original, cast(3 as bigint) as feature_count, "
+    f"{_STUMP_SCORES} select n, round(r2_log, 6) as r2_log, round(rmse_log, 6) as rmse_log, "
+    "round(mae_log, 6) as mae_log, round(r2_original, 6) as r2_original, "
+    "round(rmse_original, 4) as rmse_original, cast(3 as bigint) as feature_count, "
     "round(adjusted_r2, 6) as adjusted_r2 from a"
 )
 def gbt_first_rounds_metrics(spark, sf_dir):
@@ -136,7 +138,8 @@ _STUMP_IMPORTANCES = (
     + ") v(f, feature)), removed as (select f, gain from t1 union all select f, gain from t2), "
     "weights as (select feature, f, coalesce(sum(gain), 0) / (select sum(gain) from removed) as importance "
     "from names left join removed using (f) group by feature, f), "
-    "ranked as (select feature, importance, cast(row_number() over (order by importance desc, f) as int) as rank from weights) "
+    "ranked as (select feature, importance, "
+    "cast(row_number() over (order by importance desc, f) as int) as rank from weights) "
 )
 
 
@@ -174,7 +177,8 @@ def _report_sql() -> str:
         "advanced": [("adjusted_r2", "adjusted_r2"), ("feature_count", "3")],
     }
     rows = [
-        f"select '{section}' as section, {i} as position, '{metric}' as metric, round(cast({sql} as double), 4) as value from a"
+        f"select '{section}' as section, {i} as position, '{metric}' as metric, "
+        f"round(cast({sql} as double), 4) as value from a"
         for section, lines in blocks.items()
         for i, (metric, sql) in enumerate(lines, start=1)
     ]
@@ -269,8 +273,9 @@ def prepared_rows(spark, sf_dir):
 
 @query(
     f"with {PROP_CTE}, folds as (select cast({FOLD_BUCKET} as int) as fold, count(*) as n from prop "
-    f"where {SPLIT_CASE} = 'train' group by 1) select fold, cast((select sum(n) from folds) - n as bigint) as fit_rows, "
-    "n as held_rows, max_depth, max_iter, cast(step_size as double) as step_size from folds, "
+    f"where {SPLIT_CASE} = 'train' group by 1) "
+    "select fold, cast((select sum(n) from folds) - n as bigint) as fit_rows, n as held_rows, "
+    "max_depth, max_iter, cast(step_size as double) as step_size from folds, "
     "(values (3), (5), (7)) d(max_depth), (values (50), (100), (150)) i(max_iter), (values (0.05), (0.1)) s(step_size)"
 )
 def param_grid(spark, sf_dir):

@@ -31,7 +31,8 @@ def test_fill_changes_nulls_only(spark):
 
 
 def test_fill_keeps_types(spark):
-    df = spark.sql("select cast(null as int) i, cast(null as bigint) l, cast(null as decimal(10,2)) d, cast(null as float) f")
+    types = {"i": "int", "l": "bigint", "d": "decimal(10,2)", "f": "float"}
+    df = spark.sql("select " + ", ".join(f"cast(null as {t}) as {c}" for c, t in types.items()))
     assert clean.fill_nulls(df, df.columns).dtypes == df.dtypes
 
 

@@ -13,7 +13,8 @@ def test_squares_do_not_overflow(spark):
 
 
 def test_ratio_guard(spark):
-    df = spark.createDataFrame([(6.0, 2.0), (6.0, 0.0), (6.0, -1.0), (6.0, None)], "living_area double, land_area double")
+    rows = [(6.0, 2.0), (6.0, 0.0), (6.0, -1.0), (6.0, None)]
+    df = spark.createDataFrame(rows, "living_area double, land_area double")
     made = features.ratio_columns(["living_area", "land_area"])
     assert [r[0] for r in df.select(*[c.alias(n) for n, c in made.items()]).collect()] == [3.0, 0.0, 0.0, 0.0]
 

@@ -55,7 +55,8 @@ def test_relative_score(spark):
 
 
 def test_mispriced(spark):
-    df = spark.createDataFrame([(1, 130.0, 100.0), (2, 70.0, 100.0), (3, 110.0, 100.0), (4, 5.0, 0.0)], "id int, price double, fair double")
+    listings = [(1, 130.0, 100.0), (2, 70.0, 100.0), (3, 110.0, 100.0), (4, 5.0, 0.0)]
+    df = spark.createDataFrame(listings, "id int, price double, fair double")
     rows = {r["id"]: r["verdict"] for r in market.mispriced(df, "price", "fair").collect()}
     assert rows == {1: "overvalued", 2: "undervalued"}
 
