@@ -105,3 +105,25 @@ def test_helper_names_may_occur_in_the_data(skewed, limit):
     assert out.columns == [*df.columns, "k_indexed", "k_mean"]
     assert out.count() == 6000
     assert out.filter("index = id and label = id and n = id and encoded = id").count() == 6000
+
+
+def test_large_lookup_shuffles_evenly(spark):
+    """A label with a third of the rows does not gather in one partition."""
+    df = spark.range(0, 60_000, 1, 4).selectExpr(
+        "id", "case when id % 3 = 0 then 'hot' when id % 10 = 1 then null else concat('k', id % 14000) end as k"
+    )
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        joined = encode.attach(df, encode.frequency_index(df, "k").select("label", "index"), "k", limit=0)
+        placed = joined.withColumn("p", F.spark_partition_id())
+        shuffled = placed.filter("k is not null and k <> 'hot'").groupBy("p").count()
+        largest, mean = shuffled.agg(F.max("count"), F.avg("count")).first()
+        hot = placed.filter("k = 'hot'").groupBy("p").count().agg(F.max("count"), F.avg("count")).first()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert largest < 1.2 * mean
+    assert hot[0] < 1.2 * hot[1]
