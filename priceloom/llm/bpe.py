@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from priceloom.llm.common import text_of
 from priceloom.llm.text import slices
@@ -305,8 +305,10 @@ class Bpe:
         self._remember(list(new))
         return [[pieces[p] for p in ps] for ps in cut]
 
-    def decode(self, ids: Iterator[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+    def byte_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all tokens in one array, and where each starts."""
+        whole = [self.bytes.get(i, b"") for i in range(max(self.bytes) + 1)]
+        return np.concatenate([[0], np.cumsum([len(b) for b in whole])]), np.frombuffer(b"".join(whole), dtype=np.uint8)
 
 
 _loaded: dict[str, Bpe] = {}
@@ -329,13 +331,39 @@ def encode(docs: DataFrame, path: str | None = None, text_column: str = "text")
         bpe = loaded(path)
         for part in slices(batches, text_column):
             coded = bpe.encode_batch([t or "" for t in part.column(text_column).to_pylist()])
-            ids = [[i for piece in text for i in piece[0]] for text in coded]
-            arrays = [part.column(f.name) for f in fields] + [pa.array(ids, pa.list_(pa.int32()))]
+            ends = np.cumsum([0] + [sum([len(p[0]) for p in text]) for text in coded])
+            flat = np.fromiter((i for text in coded for piece in text for i in piece[0]), np.int32, int(ends[-1]))
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            arrays = [part.column(f.name) for f in fields] + [ids]
             yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields] + ["ids"])
 
     return docs.mapInArrow(run, schema)
 
 
+def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
+    """Adds the column ``decoded``, the text that the column ``ids`` stands for;
+    null ids give an empty text."""
+    path = path or default_vocabulary()
+    fields = [f for f in coded.schema.fields if f.name != "decoded"]
+    schema = StructType([*fields, StructField("decoded", StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, data = loaded(path).byte_table()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                texts = []
+                for ids in part.column("ids"):
+                    ids = np.asarray(ids.values.to_numpy() if ids.is_valid else [], dtype=np.int64)
+                    sizes = starts[ids + 1] - starts[ids]
+                    place = np.arange(int(sizes.sum())) + np.repeat(starts[ids] - (np.cumsum(sizes) - sizes), sizes)
+                    texts.append(data[place].tobytes().decode("utf-8", "replace"))
+                arrays = [part.column(f.name) for f in fields] + [pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, [*(f.name for f in fields), "decoded"])
+
+    return coded.mapInArrow(run, schema)
+
+
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row: encodes,
     decodes the ids again and hashes both, without moving the ids."""

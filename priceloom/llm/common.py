@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +17,25 @@ from priceloom.sources.scratch import scratch_path, written
 #: never more than its inverse of them and they can always be broadcast.
 HOT_SHARE = 1 / 1000
 
-__all__ = ["attach", "free_name", "held_out", "scratch_path", "spark_of", "text_of", "with_row_key", "written"]
+__all__ = ["attach", "free_name", "held_out", "scratch_path", "ship", "text_of", "with_row_key", "written"]
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+_shipped: dict[str, str] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the library to Python workers that cannot import it, once per
+    application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="priceloom-"), "priceloom.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(path)
+    _shipped[context.applicationId] = path
 
 
 def text_of(column: str = "text") -> Column:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from priceloom.llm import graph
-from priceloom.llm.common import attach, text_of, written
+from priceloom.llm.common import attach, free_name, text_of, written
 from priceloom.llm.text import shingle_sets, slices
 
 #: How many frequent tokens are put last at most, and how many times a token
@@ -328,3 +328,20 @@ def jaccard_components(docs: DataFrame, width: int = 5, threshold: float = 0.8)
     columns = ["doc_id", "row_key", "n_shingles", "component_id", "component_key"]
     empty = slim.filter("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "component_key": F.col("row_key")})
     return full.select(*columns).unionByName(empty.select(*columns))
+
+
+def keep_one(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """The rows of docs without the near duplicates: of each component the row
+    with the least key stays, and one row of rows equal in id and text. Rows
+    without words all stay."""
+    found = jaccard_components(docs, width, threshold).filter("n_shingles > 0")
+    marks = found.groupBy("row_key").agg(
+        F.max(F.col("row_key") != F.col("component_key")).alias("goes"), F.count("*").alias("times")
+    )
+    key, goes, times = (free_name(docs, n) for n in ("row_key", "goes", "times"))
+    marks = marks.filter("goes or times > 1").toDF(key, goes, times)
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(text_of())))
+    marked = keyed.join(marks, key, "left")
+    alone = marked.filter(F.col(goes).isNull())
+    again = marked.filter(~F.col(goes)).dropDuplicates([key])
+    return alone.unionByName(again).drop(key, goes, times)

@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceloom.llm import bpe, jaccard_join
+from priceloom.llm import bpe, exact_dedup, hnsw, jaccard_join, language_id, mixing, quality
+from priceloom.llm.common import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, threshold=0.9)
     return found.select("doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id")
@@ -21,9 +32,40 @@ def op7_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), hash_all=True)
+    return found.withColumnRenamed("text_hash", "text_sha256")
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_quality_classifier": op3_quality_classifier,
+    "op5_mix_sources": op5_mix_sources,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Upper and lower case of ASCII letters, as translate() takes them.
+CASES = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_exact_dedup": f"""
+        with d as (
+            select doc_id, sha256(translate(coalesce(text, ''), {CASES})) as text_sha256 from documents
+        ), g as (
+            select text_sha256, max(doc_id) as keep_id, count(*) as group_size from d group by text_sha256
+        )
+        select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, d.text_sha256
+        from d join g using (text_sha256)""",
+}
