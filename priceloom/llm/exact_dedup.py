@@ -30,22 +30,22 @@ def normalised(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def _bucket(*columns: str | Column) -> Column:
+def bucket_of(*columns: str | Column) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
 
 
-def _repeated(keys: DataFrame, *columns: str) -> DataFrame:
+def repeated(keys: DataFrame, *columns: str) -> DataFrame:
     """Buckets of the keys that occur more than once."""
     counts = keys.groupBy(*columns).count().filter("count > 1")
-    return F.broadcast(counts.select(_bucket(*columns).alias("bucket")).distinct())
+    return F.broadcast(counts.select(bucket_of(*columns).alias("bucket")).distinct())
 
 
 def _survivors(docs: DataFrame, text_column: str) -> DataFrame:
     """Buckets of (length, prefix hash) that survive both cheap levels."""
     text = text_of(text_column)
     keys = written(docs.select(F.octet_length(text).alias("length"), _prefix(text).alias("prefix")), "prefix-keys")
-    longs = keys.join(_repeated(keys, "length"), _bucket("length") == F.col("bucket"), "left_semi")
-    return written(_repeated(longs, "length", "prefix"), "prefix-buckets")
+    longs = keys.join(repeated(keys, "length"), bucket_of("length") == F.col("bucket"), "left_semi")
+    return written(repeated(longs, "length", "prefix"), "prefix-buckets")
 
 
 def _prefix(text: Column) -> Column:
@@ -56,7 +56,7 @@ def _split(docs: DataFrame, text_column: str, bucket: str) -> tuple[DataFrame, D
     """The rows that no other row can equal, and the survivors."""
     text = text_of(text_column)
     found = F.broadcast(_survivors(docs, text_column).withColumnRenamed("bucket", bucket))
-    tagged = docs.withColumn(bucket, _bucket(F.octet_length(text), _prefix(text)))
+    tagged = docs.withColumn(bucket, bucket_of(F.octet_length(text), _prefix(text)))
     return tagged.join(found, bucket, "left_anti").drop(bucket), tagged.join(found, bucket, "left_semi").drop(bucket)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceloom.llm import bpe, exact_dedup, hnsw, jaccard_join, language_id, mixing, quality
+from priceloom.llm import bpe, exact_dedup, hnsw, jaccard_join, language_id, mixing, quality, warc
 from priceloom.llm.common import ship
 
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -47,6 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc_index": op2_warc_index,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_mix_sources": op5_mix_sources,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
@@ -60,6 +66,17 @@ QUERIES = {
 CASES = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc_index": """
+        with p as (
+            select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+        ), g as (
+            select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) else page_id end as first
+            from p
+        )
+        select page_id, payload_bytes, payload_digest,
+            case when page_id = first then 'response' else 'revisit' end as record_type,
+            case when page_id = first then null else first end as refers_to
+        from g""",
     "op8_exact_dedup": f"""
         with d as (
             select doc_id, sha256(translate(coalesce(text, ''), {CASES})) as text_sha256 from documents
