@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceloom.llm import bpe, exact_dedup, hnsw, jaccard_join, language_id, mixing, quality, warc
+from priceloom.llm import bpe, exact_dedup, hnsw, jaccard_join, language_id, licenses, mixing, pii, quality, warc
 from priceloom.llm.common import ship
 
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(spark, table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -24,6 +28,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
@@ -52,8 +60,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_warc_index": op2_warc_index,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_license_scan": op4_license_scan,
     "op5_mix_sources": op5_mix_sources,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_bpe_encode_decode": op7_bpe_encode_decode,
