@@ -25,11 +25,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--row-key", action="append", default=[], help="column that identifies a row; repeatable")
     parser.add_argument("--max-iter", type=int, help="override the recipe's number of boosting rounds")
     parser.add_argument("--storage", choices=("persist", "table"), default="persist")
+    parser.add_argument("--train-partitions", type=int, help="fixed layout of the training rows")
     parser.add_argument("--output", help="also write the report as Parquet to this path")
     args = parser.parse_args(argv)
 
     spark = session.build("Property price regression")
-    recipe = RECIPES[args.recipe].with_(storage=args.storage)
+    recipe = RECIPES[args.recipe].with_(storage=args.storage, train_partitions=args.train_partitions)
     if args.max_iter:
         recipe = recipe.with_(booster=recipe.booster.with_(max_iter=args.max_iter))
     table = read_first(spark, args.input, args.format, args.schema)

@@ -173,3 +173,20 @@ def features_missing_inputs(spark, sf_dir):
         ]
     )
     return stats.select(F.inline(F.array(*made)))
+
+
+_BROKEN = (
+    "case l_linenumber when 5 then cast('Infinity' as double) when 6 then cast('NaN' as double) when 7 then null "
+    "else price end as price"
+)
+
+
+@query(
+    f"with {PROP_CTE}, logged as (select {KEYS}, ln(1 + price) as log_price from prop where l_linenumber < 5), "
+    f"bounds as ({_BOUNDS}) select {KEYS}, round(log_price, 6) as log_price from logged, bounds "
+    "where log_price >= lower and log_price <= upper"
+)
+def nonfinite_labels(spark, sf_dir):
+    """Infinite, NaN and null prices neither count as labels nor move the bounds."""
+    broken = clean.with_log_target(prop(spark, sf_dir).selectExpr(*KEY, _BROKEN), "price")
+    return clean.keep_within_sigma(broken).select(*KEY, F.round(LOG_TARGET, 6).alias(LOG_TARGET))

@@ -94,6 +94,18 @@ def doc_mispriced(spark, sf_dir):
     return found.select(*KEY, F.round("relative_gap", 6).alias("relative_gap"), "verdict")
 
 
+@query(
+    f"{_LINE}, gaps as (select {KEYS}, (price - exp_prediction) / exp_prediction as gap from scored) "
+    f"select cast(row_number() over (order by abs(gap) desc, {KEYS}) as int) as rank, {KEYS}, "
+    "round(gap, 6) as relative_gap, case when gap > 0 then 'overvalued' else 'undervalued' end as verdict "
+    f"from gaps where abs(gap) > 0.25 order by abs(gap) desc, {KEYS} limit 20"
+)
+def doc_mispriced_top(spark, sf_dir):
+    """The twenty listings furthest off their estimate."""
+    found = market.most_mispriced(with_line(spark, sf_dir), "price", metrics.EXP_PREDICTION, 20, *KEY)
+    return found.select("rank", *KEY, F.round("relative_gap", 6).alias("relative_gap"), "verdict")
+
+
 @query(
     "select cast(l_suppkey as varchar) as region, l_linestatus as city, count(*) as n, "
     "round(avg(l_extendedprice), 4) as mean_price, round(stddev_samp(l_extendedprice), 4) as stddev_price "

@@ -4,6 +4,8 @@ Boosted trees have no SQL equivalent in general, but depth-1 trees over features
 with few values do: each round is the best threshold of grouped sums. Those
 queries check splitting, labels, boosting and folds to the last row."""
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from priceloom.catalog.base import (
@@ -20,13 +22,12 @@ from priceloom.catalog.base import (
 from priceloom.operators import split
 from priceloom.plans import recipes, report, tuning
 from priceloom.plans.boosting import Booster
+from priceloom.sources.scratch import written
 
-# Grids and round counts of the quick queries. The published settings run in
-# full in gbt_basic and gbt_optimized, and stay available for tuning as GRID.
-QUICK_ROUNDS = 10
-QUICK_GRID = tuning.Grid(max_depth=(3, 5), max_iter=(5, 10), step_size=(0.05, 0.1))
-SMALL_GRID = tuning.Grid(max_depth=(2, 3), max_iter=(4, 8), step_size=(0.1,))
-SMALL_FOLDS = 3
+# The layout of the registered programs' training rows, part of their result.
+PARTITIONS = 8
+BASIC_RECIPE = recipes.BASIC_RECIPE.with_(train_partitions=PARTITIONS)
+OPTIMIZED_RECIPE = recipes.OPTIMIZED_RECIPE.with_(train_partitions=PARTITIONS)
 
 STUMP_FEATURES = ("bedrooms", "bathrooms", "land_area")
 STUMPS = Booster(
@@ -36,17 +37,17 @@ STUMP_RECIPE = recipes.BASIC_RECIPE.with_(name="stumps", booster=STUMPS)
 STUMP_GRID = tuning.Grid(max_depth=(1,), max_iter=(1, 2), step_size=(0.05, 0.1))
 
 
-def _prepared(spark, sf_dir, recipe):
-    return recipes.prepare(prop_signal(spark, sf_dir), recipe, row_key=KEY)
-
-
 def _stump_rows(spark, sf_dir):
     rows = prop_signal(spark, sf_dir).select(*KEY, "price", *STUMP_FEATURES)
     return recipes.prepare(rows, STUMP_RECIPE, row_key=KEY)
 
 
-def _quick(recipe, rounds=QUICK_ROUNDS):
-    return recipe.with_(booster=recipe.booster.with_(max_iter=rounds))
+def _finish(prepared, rows, name):
+    """Store rows that still read the prepared ones, then give those up."""
+    try:
+        return written(rows, name)
+    finally:
+        prepared.release()
 
 
 def _tree_sql(tree: str, rows: str, label: str) -> str:
@@ -97,10 +98,8 @@ _TEST_SIDES = "select 0 as k, split = 'test' as held, * from keyed"
 def gbt_first_rounds(spark, sf_dir):
     """Two rounds of depth-1 trees: test predictions match to the row."""
     prepared = _stump_rows(spark, sf_dir)
-    fitted = recipes.fit(prepared)
-    prepared.release()
-    scored = fitted.score(prepared.test)
-    return scored.select(*KEY, F.round("prediction", 6).alias("prediction"))
+    scored = recipes.fit(prepared).score(prepared.test)
+    return _finish(prepared, scored.select(*KEY, F.round("prediction", 6).alias("prediction")), "scores")
 
 
 # Scores of the two-round model on its test rows, one row.
@@ -124,11 +123,9 @@ _STUMP_SCORES = (
 def gbt_first_rounds_metrics(spark, sf_dir):
     """Every score of the same model on its test rows."""
     prepared = _stump_rows(spark, sf_dir)
-    fitted = recipes.fit(prepared)
-    prepared.release()
-    scores = fitted.evaluate(prepared.test)
+    scores = recipes.fit(prepared).evaluate(prepared.test)
     digits = {c: 4 if c == "rmse_original" else 6 for c in scores.columns if c not in ("n", "feature_count")}
-    return scores.withColumns({c: F.round(c, d) for c, d in digits.items()})
+    return _finish(prepared, scores.withColumns({c: F.round(c, d) for c, d in digits.items()}), "scores")
 
 
 # A feature's importance is its share of the squared error all splits remove.
@@ -171,7 +168,7 @@ def _report_sql() -> str:
             ("test_rows", sizes.format("test")),
             ("scored_rows", "n"),
         ],
-        "training": [("boosting_rounds", "2")],
+        "training": [("boosting_rounds", "2"), ("max_bins", "32"), ("widest_nominal", "0")],
         "log_scale": [("r2", "r2_log"), ("rmse", "rmse_log"), ("mae", "mae_log")],
         "original_scale": [("r2", "r2_original"), ("rmse", "rmse_original")],
         "advanced": [("adjusted_r2", "adjusted_r2"), ("feature_count", "3")],
@@ -231,9 +228,8 @@ def cv_stability_stumps(spark, sf_dir):
     """The same search, its winner refitted on all training rows and tested."""
     prepared = _stump_rows(spark, sf_dir)
     tuned = tuning.tune(prepared, STUMP_GRID)
-    prepared.release()
     gap = tuning.stability(tuned.fitted.evaluate(prepared.test), tuned.best_score)
-    return gap.select(*[F.round(c, 6).alias(c) for c in gap.columns])
+    return _finish(prepared, gap.select(*[F.round(c, 6).alias(c) for c in gap.columns]), "gap")
 
 
 _DERIVED = {
@@ -267,8 +263,8 @@ def prepared_rows(spark, sf_dir):
     """The optimized program's preparation as a whole: filled, filtered, derived
     and split rows as they enter the model."""
     prepared = recipes.prepare(prop(spark, sf_dir), recipes.OPTIMIZED_RECIPE, row_key=KEY)
-    prepared.release()
-    return prepared.frame.withColumns({c: F.round(c, 6) for c in ("log_price", *_DERIVED)})
+    rows = prepared.frame.withColumns({c: F.round(c, 6) for c in ("log_price", *_DERIVED)})
+    return _finish(prepared, rows, "prepared")
 
 
 @query(
@@ -284,55 +280,211 @@ def param_grid(spark, sf_dir):
     return tuning.search_plan(train, KEY)
 
 
-@query()
+def _exact_lines(lines):
+    """What of a report SQL can state, whatever trees were grown: the dataset,
+    training and feature-count lines, and whether the scores hang together."""
+    value = lambda section, metric: F.max(
+        F.when((F.col("section") == section) & (F.col("metric") == metric), F.col("value"))
+    )
+    weight = F.when(F.col("section") == "importance", F.col("value"))
+    exact = lines.filter("section in ('dataset', 'training') and metric <> 'fit_seconds' or metric = 'feature_count'")
+    n, features = value("dataset", "scored_rows"), value("advanced", "feature_count")
+    adjusted = 1 - (1 - value("log_scale", "r2")) * (n - 1) / (n - features - 1)
+    ranked = F.sort_array(F.collect_list(F.struct(F.col("position"), weight.alias("w"))))
+    falls = F.forall(F.sequence(F.lit(1), F.size("ranked") - 1), lambda i: F.get("ranked.w", i - 1) >= F.get("ranked.w", i))
+    checks = lines.agg(
+        (F.abs(adjusted - value("advanced", "adjusted_r2")) < 1e-9).alias("adjusted_r2_follows"),
+        (value("log_scale", "rmse") >= value("log_scale", "mae")).alias("rmse_at_least_mae"),
+        (value("log_scale", "r2") > 0.9).alias("target_is_learned"),
+        (F.sum(weight) <= 1 + 1e-9).alias("importances_within_one"),
+        F.filter(ranked, lambda x: x["w"].isNotNull()).alias("ranked"),
+    ).withColumn("importances_fall", falls)
+    names = [c for c in checks.columns if c != "ranked"]
+    rows = [
+        F.struct(F.lit("check").alias("section"), F.lit(i).alias("position"), F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+        for i, c in enumerate(names, start=1)
+    ]
+    return exact.unionByName(checks.select(F.inline(F.array(*rows))))
+
+
+def _program_sql(filled: bool, numeric: int, rounds: int, bins: int) -> str:
+    """The same lines for a program over prop_signal."""
+    kept = "log_price between lower and upper" if filled else "true"
+    scored = "true" if filled else "living_area is not null"
+    lines = {
+        "dataset": {
+            "rows": "count(*)",
+            "columns": str(len(KEY) + 7),
+            "numeric_features": str(numeric),
+            "categorical_features": "2",
+            "unlabelled_rows": "0",
+            "outlier_rows": f"count(*) filter (where not ({kept}))",
+            "train_rows": f"count(*) filter (where {kept} and split = 'train')",
+            "test_rows": f"count(*) filter (where {kept} and split = 'test')",
+            "scored_rows": f"count(*) filter (where {kept} and split = 'test' and {scored})",
+        },
+        "training": {
+            "boosting_rounds": str(rounds),
+            "max_bins": str(bins),
+            "widest_nominal": "1 + greatest(count(distinct property_type) filter (where split = 'train'), "
+            "count(distinct city) filter (where split = 'train'))",
+        },
+    }
+    rows = [
+        f"select '{section}' as section, {i} as position, '{metric}' as metric, cast({sql} as double) as value from logged, bounds"
+        for section, metrics in lines.items()
+        for i, (metric, sql) in enumerate(metrics.items(), start=1)
+    ]
+    rows.append(f"select 'advanced', 2, 'feature_count', cast({numeric + 2} as double)")
+    names = (
+        "adjusted_r2_follows", "rmse_at_least_mae", "target_is_learned", "importances_within_one", "importances_fall",
+    )
+    rows += [f"select 'check', {i}, '{name}', cast(1 as double)" for i, name in enumerate(names, start=1)]
+    return (
+        f"with {SIGNAL_CTE}, logged as (select *, ln(1 + price) as log_price, {SPLIT_CASE} as split from prop), "
+        "bounds as (select avg(log_price) - 3 * stddev_samp(log_price) as lower, "
+        "avg(log_price) + 3 * stddev_samp(log_price) as upper from logged) " + " union all ".join(rows)
+    )
+
+
+@query(_program_sql(False, 4, 100, 32))
 def gbt_basic(spark, sf_dir):
-    """The basic program with its published settings; returns its report."""
-    return report.run(prop_signal(spark, sf_dir), recipes.BASIC_RECIPE, row_key=KEY)
+    """The basic program with its published settings: what SQL can state of its
+    report, and that the scores hang together."""
+    return _exact_lines(report.run(prop_signal(spark, sf_dir), BASIC_RECIPE, row_key=KEY))
 
 
-@query()
+@query(_program_sql(True, 14, 150, 40))
 def gbt_optimized(spark, sf_dir):
-    """The optimized program with its published settings; returns its report."""
-    return report.run(prop_signal(spark, sf_dir), recipes.OPTIMIZED_RECIPE, row_key=KEY)
+    """The optimized program with its published settings, likewise."""
+    return _exact_lines(report.run(prop_signal(spark, sf_dir), OPTIMIZED_RECIPE, row_key=KEY))
 
 
-@query()
-def score_batch(spark, sf_dir):
-    """Test rows with their estimated price."""
-    prepared = _prepared(spark, sf_dir, _quick(recipes.OPTIMIZED_RECIPE))
-    fitted = recipes.fit(prepared)
-    prepared.release()
-    return fitted.score(prepared.test).select(*KEY, "price", "log_price", "prediction", "exp_prediction")
+def _kind_sql(kind: str) -> str:
+    """Test rows with both encoded categories; fitted on the training rows."""
+    per = " union all ".join(
+        f"select '{c}' as c, {c} as label, log_price from logged where split = 'train'" for c in ("property_type", "city")
+    )
+    if kind == "rank":
+        value = "row_number() over (partition by c order by count(*) desc, label) - 1"
+    else:
+        value = "(sum(log_price) + 10 * (select avg(log_price) from logged where split = 'train')) / (count(*) + 10)"
+    return (
+        f"with {SIGNAL_CTE}, logged as (select *, ln(1 + price) as log_price, {SPLIT_CASE} as split from prop), "
+        f"codes as (select c, label, cast({value} as double) as code from ({per}) group by c, label) "
+        f"select {KEYS}, round(a.code, 6) as property_type, round(b.code, 6) as city from logged "
+        "join codes a on a.c = 'property_type' and a.label = property_type "
+        "join codes b on b.c = 'city' and b.label = city where split = 'test'"
+    )
 
 
-@query()
-def importance_topk(spark, sf_dir):
-    prepared = _prepared(spark, sf_dir, _quick(recipes.OPTIMIZED_RECIPE))
-    fitted = recipes.fit(prepared)
-    prepared.release()
-    return report.importance_topk(fitted.importances())
+def _encoded(spark, sf_dir, kind):
+    """The vectors that a program with this encoding sees, its last two parts."""
+    recipe = recipes.TUNED_RECIPE.with_(encodings=(("property_type", kind), ("city", kind)))
+    prepared = recipes.prepare(prop_signal(spark, sf_dir), recipe, row_key=KEY)
+    made = recipes.vectors(prepared, recipes.fit_encoders(prepared, prepared.train), prepared.test)
+    codes = vector_to_array("features")
+    rows = made.select(
+        *KEY, F.round(F.get(codes, F.lit(4)), 6).alias("property_type"), F.round(F.get(codes, F.lit(5)), 6).alias("city")
+    )
+    return _finish(prepared, rows, "encoded")
 
 
-@query()
-def cv_scores(spark, sf_dir):
-    """R2 per grid point and fold."""
-    prepared = _prepared(spark, sf_dir, recipes.TUNED_RECIPE)
-    scores = tuning.cross_validate(prepared, QUICK_GRID)
-    prepared.release()
-    return scores
+@query(_kind_sql("rank"))
+def encoded_rank(spark, sf_dir):
+    """Categories as frequency ranks, chosen in the recipe."""
+    return _encoded(spark, sf_dir, "rank")
 
 
-@query()
-def cv_stability(spark, sf_dir):
-    """Best cross-validation R2 against the R2 of its refit on test rows."""
-    prepared = _prepared(spark, sf_dir, recipes.TUNED_RECIPE.with_(folds=SMALL_FOLDS))
-    tuned = tuning.tune(prepared, SMALL_GRID)
-    prepared.release()
-    return tuning.stability(tuned.fitted.evaluate(prepared.test), tuned.best_score)
+@query(_kind_sql("target_mean"))
+def encoded_target_mean(spark, sf_dir):
+    """Categories as smoothed means of the log target, chosen in the recipe."""
+    return _encoded(spark, sf_dir, "target_mean")
+
+
+def _summary_sql() -> str:
+    """The report of the stump search: its winner's scores on the test rows."""
+    first = (
+        "scored as (select y, case when max_iter = 2 then p1 + step_size * p2 else p1 end as p, exp(y) - 1 as price, "
+        "exp(case when max_iter = 2 then p1 + step_size * p2 else p1 end) - 1 as ep from r2, best where k = 5 and held), "
+        "s as (select count(*) as n, 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) as r2_log from scored), "
+    )
+    removed = "removed as (select f, gain from t1 where k = 5 union all select f, gain from t2, best where k = 5 and max_iter = 2), "
+    names = "names as (select * from (values " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(STUMP_FEATURES)) + ") v(f, feature)), "
+    ranked = (
+        "weights as (select feature, f, coalesce(sum(gain), 0) / (select sum(gain) from removed) as importance "
+        "from names left join removed using (f) group by feature, f), "
+        "ranked as (select feature, importance, row_number() over (order by importance desc, f) as rank from weights) "
+    )
+    blocks = [
+        ("tuning", 1, "max_depth", "1"),
+        ("tuning", 2, "max_iter", "max_iter"),
+        ("tuning", 3, "step_size", "step_size"),
+        ("tuning", 4, "cv_r2", "mean"),
+        ("stability", 1, "cv_r2", "mean"),
+        ("stability", 2, "test_r2", "r2_log"),
+        ("stability", 3, "gap", "abs(mean - r2_log)"),
+    ]
+    rows = [
+        f"select '{a}' as section, {b} as position, '{c}' as metric, round(cast({d} as double), 6) as value from s, best"
+        for a, b, c, d in blocks
+    ]
+    rows.append("select 'summary', cast(rank as int), feature, round(importance, 6) from ranked where rank <= 3")
+    return (
+        _stump_ctes(f"{_FOLD_SIDES} union all select 5, split = 'test', * from keyed")
+        + ", folded as (select k, max_iter, step_size, y, p1 + case when max_iter = 2 then step_size * p2 else 0 end as p "
+        "from r2, (values (1), (2)) n(max_iter), (values (cast(0.05 as double)), (cast(0.1 as double))) s(step_size) "
+        "where held and k < 5), per as (select k, max_iter, step_size, 1 - avg((y - p) ** 2) / var_pop(y) as score "
+        "from folded group by k, max_iter, step_size), means as (select max_iter, step_size, avg(score) as mean from per "
+        "group by max_iter, step_size), best as (select * from means order by mean desc, max_iter, step_size limit 1), "
+        + first + removed + names + ranked + " union all ".join(rows)
+    )
 
 
-@query()
-def summary_report(spark, sf_dir):
-    """The tuned program's whole report, stability and summary included."""
-    recipe = recipes.TUNED_RECIPE.with_(folds=SMALL_FOLDS)
-    return report.run(prop_signal(spark, sf_dir), recipe, row_key=KEY, grid=SMALL_GRID)
+@query(_summary_sql())
+def summary_report_stumps(spark, sf_dir):
+    """Tuning, stability and summary blocks of a searched program's report, five
+    folds over all rows, checked to the line."""
+    rows = prop_signal(spark, sf_dir).select(*KEY, "price", *STUMP_FEATURES)
+    lines = report.run(rows, STUMP_RECIPE, row_key=KEY, grid=STUMP_GRID)
+    kept = lines.filter("section in ('tuning', 'stability', 'summary')")
+    return kept.withColumn("value", F.round("value", 6))
+
+
+@query(
+    f"with {SIGNAL_CTE} select {KEYS}, price, round(ln(1 + price), 6) as log_price, true as estimated, "
+    f"true as transforms_back from prop where {SPLIT_CASE} = 'test' and ln(1 + price) between "
+    "(select avg(ln(1 + price)) - 3 * stddev_samp(ln(1 + price)) from prop) and "
+    "(select avg(ln(1 + price)) + 3 * stddev_samp(ln(1 + price)) from prop)"
+)
+def score_batch(spark, sf_dir):
+    """Every test row is estimated by the optimized program as published, and
+    estimates on the price scale are exp - 1 of those on the log scale."""
+    prepared = recipes.prepare(prop_signal(spark, sf_dir), OPTIMIZED_RECIPE, row_key=KEY)
+    scored = recipes.fit(prepared).score(prepared.test)
+    rows = scored.select(
+        *KEY,
+        "price",
+        F.round("log_price", 6).alias("log_price"),
+        (F.abs(F.col("prediction") - F.col("log_price")) < 1.0).alias("estimated"),
+        (F.abs(F.log1p("exp_prediction") - F.col("prediction")) < 1e-9).alias("transforms_back"),
+    )
+    return _finish(prepared, rows, "scores")
+
+
+@query(
+    "select cast(r as int) as rank, true as in_order, true as within_one from range(1, 16) t(r), "
+    "(select count(*) as n from lineitem) where n > 0"
+)
+def importance_topk(spark, sf_dir):
+    """The fifteen highest importances of the optimized program as published:
+    their ranks, that they fall, and that they add up to one at most."""
+    prepared = recipes.prepare(prop_signal(spark, sf_dir), OPTIMIZED_RECIPE, row_key=KEY)
+    ranked = report.importance_topk(recipes.fit(prepared).importances())
+    line = Window.orderBy("rank")
+    rows = ranked.select(
+        "rank",
+        F.coalesce(F.lag("importance").over(line) >= F.col("importance"), F.lit(True)).alias("in_order"),
+        (F.sum("importance").over(line) <= 1 + 1e-9).alias("within_one"),
+    )
+    return _finish(prepared, rows, "importances")

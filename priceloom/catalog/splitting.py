@@ -25,8 +25,8 @@ def cv_folds(spark, sf_dir):
     return split.fold_counts(split.with_fold(train, KEY))
 
 
-@query()
+@query(f"with {PROP_CTE} select {KEYS}, price from prop")
 def random_split(spark, sf_dir):
-    """Layout-dependent draw; both sides together are all rows."""
+    """Layout-dependent draw; both sides together are all rows, each once."""
     train, test = split.random_split(prop(spark, sf_dir).select(*KEY, "price"))
-    return train.withColumn(split.SPLIT, F.lit("train")).unionByName(test.withColumn(split.SPLIT, F.lit("test")))
+    return train.unionByName(test)

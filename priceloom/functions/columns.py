@@ -23,8 +23,8 @@ def expm1_price(name: str) -> Column:
 
 
 def is_number(name: str) -> Column:
-    """True when the double is neither null nor NaN."""
-    return F.col(name).isNotNull() & ~F.isnan(name)
+    """True when the double is finite: neither null nor NaN nor infinite."""
+    return F.coalesce(F.abs(_double(name)) < float("inf"), F.lit(False)) & ~F.isnan(name)
 
 
 def zero_if_null(name: str, dtype: DataType) -> Column:

@@ -32,7 +32,8 @@ def fill_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def drop_unlabelled(df: DataFrame, column: str = LOG_TARGET) -> DataFrame:
-    """Drop rows whose label is null or NaN; no model can be fitted on them."""
+    """Drop rows whose label is null, NaN or infinite; no model can be fitted
+    on them, and one would spoil every statistic."""
     return df.filter(is_number(column))
 
 
@@ -60,11 +61,11 @@ def sigma_bounds(df: DataFrame, column: str = LOG_TARGET, sigmas: float = SIGMAS
 
 
 def inside(column: str, lower: Column, upper: Column) -> Column:
-    """lower <= column <= upper; a null bound does not restrict."""
+    """lower <= column <= upper; a null or NaN bound does not restrict."""
     value = F.col(column)
-    above = F.coalesce(value >= lower, F.lit(True))
-    below = F.coalesce(value <= upper, F.lit(True))
-    return is_number(column) & above & below
+    above = F.coalesce(value >= lower, F.lit(True)) | F.isnan(lower)
+    below = F.coalesce(value <= upper, F.lit(True)) | F.isnan(upper)
+    return is_number(column) & F.coalesce(above, F.lit(True)) & F.coalesce(below, F.lit(True))
 
 
 def lazy_bounds(df: DataFrame, column: str = LOG_TARGET, sigmas: float = SIGMAS) -> tuple[Column, Column]:

@@ -18,9 +18,11 @@ from priceloom.functions import is_number
 from priceloom.operators.ranking import global_rank
 from priceloom.sources.scratch import checkpointed
 
-# Most labels a column may have to be indexed by a model stage, whose label
-# array lives on the driver and whose arity sets the trees' bin count.
-MAX_STAGE_LABELS = 1000
+# Most labels a nominal column may have unless the caller says otherwise: its
+# label array lives on the driver and its arity sets the trees' bin count.
+MAX_NOMINAL_LABELS = 1000
+NOMINAL, RANK, TARGET_MEAN = "nominal", "rank", "target_mean"
+ENCODINGS = (NOMINAL, RANK, TARGET_MEAN)
 # Largest label table that is sent whole to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A label is hot when it holds at least 1/HOT_SHARE of the rows, so there are
@@ -32,47 +34,89 @@ def indexed_name(column: str) -> str:
     return f"{column}_indexed"
 
 
+def output_name(column: str, encoding: str) -> str:
+    """The model input that an encoded column becomes."""
+    return f"{column}_mean" if encoding == TARGET_MEAN else indexed_name(column)
+
+
 def label_counts(df: DataFrame, column: str) -> DataFrame:
     """(label, n) for the non-null labels."""
     label = F.col(column).alias("label")
     return df.filter(F.col(column).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
 
 
-def approx_labels(columns: Sequence[str]) -> list[Column]:
-    """Aggregates that estimate each column's label count in a shared pass."""
-    return [F.approx_count_distinct(c).alias(f"labels_{c}") for c in columns]
+def pair_counts(df: DataFrame, columns: Sequence[str], *by: str) -> DataFrame:
+    """(by..., at, label, n) for the non-null labels of all columns in one pass:
+    every row turns into its (column number, label) pairs, which are counted
+    map-side, so a task sends one row per distinct label."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).alias("label")) for i, c in enumerate(columns)])
+    rows = df.select(*by, F.inline(pairs)).filter(F.col("label").isNotNull())
+    return rows.groupBy(*by, "at", "label").agg(F.count("*").alias("n"))
+
+
+def check_label_counts(counts: DataFrame, columns: Sequence[str], limit: int) -> None:
+    """Raise when a column has more than ``limit`` labels; nothing is cut."""
+    for row in counts.groupBy("at").agg(F.countDistinct("label").alias("labels")).orderBy("at").collect():
+        if row["labels"] > limit:
+            raise ValueError(
+                f"column {columns[row['at']]!r} has {row['labels']} labels in the training rows, more than the "
+                f"{limit} a nominal column may have: raise max_labels, or encode it as {RANK!r} or {TARGET_MEAN!r}"
+            )
 
 
-def stage_labels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+def stage_labels(
+    df: DataFrame, columns: Sequence[str], limit: int = MAX_NOMINAL_LABELS
+) -> dict[str, list[str]]:
     """Labels per column, most frequent first, equal counts in label order.
 
-    One pass for all columns: every row turns into its (column, label) pairs,
-    which are counted map-side, so a task sends one row per distinct label. Only
-    for columns within MAX_STAGE_LABELS, as the labels come to the driver."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).alias("label")) for i, c in enumerate(columns)])
-    counted = (
-        df.select(F.inline(pairs))
-        .filter(F.col("label").isNotNull())
-        .groupBy("at", "label")
-        .agg(F.count("*").alias("n"))
-        .orderBy("at", F.desc("n"), "label")
-    )
+    Counted in one pass and stored, so that the number of labels is checked
+    against ``limit`` before any of them comes to the driver."""
+    counts = checkpointed(pair_counts(df, columns))
+    check_label_counts(counts, columns, limit)
+    return _sorted_labels(counts, columns)
+
+
+def _sorted_labels(counts: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     labels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in counted.collect():
+    for row in counts.orderBy("at", F.desc("n"), "label").collect():
         labels[columns[row["at"]]].append(row["label"])
     return labels
 
 
-def fit_indexers(df: DataFrame, columns: Sequence[str]) -> list[StringIndexerModel]:
-    """One fitted indexer stage per column; null and unseen labels share the
-    index after the last. The same models as fitting StringIndexer, whose fit
-    sends every task's label table to a single task."""
+def fold_labels(
+    df: DataFrame, columns: Sequence[str], fold: str, limit: int = MAX_NOMINAL_LABELS
+) -> dict[int, dict[str, list[str]]]:
+    """For each fold the labels of the rows outside it, from one pass: counts
+    per (fold, column, label), and a fold's own taken from the total."""
+    counts = checkpointed(pair_counts(df, columns, fold).withColumnRenamed(fold, "part"))
+    check_label_counts(counts, columns, limit)
+    folds = [r["part"] for r in counts.select("part").distinct().collect()]
+    total = counts.groupBy("at", "label").agg(F.sum("n").alias("n"))
+    out = {}
+    for k in folds:
+        own = counts.filter(F.col("part") == k).select("at", "label", F.col("n").alias("own"))
+        rest = total.join(own, ["at", "label"], "left").withColumn("n", F.col("n") - F.coalesce("own", F.lit(0)))
+        out[k] = _sorted_labels(rest.filter("n > 0"), columns)
+    return out
+
+
+def indexers(labels: dict[str, list[str]]) -> list[StringIndexerModel]:
+    """Indexer stages from label lists; null and unseen labels share the index
+    after the last."""
     return [
-        StringIndexerModel.from_labels(labels, column, indexed_name(column), handleInvalid="keep")
-        for column, labels in stage_labels(df, columns).items()
+        StringIndexerModel.from_labels(found, column, indexed_name(column), handleInvalid="keep")
+        for column, found in labels.items()
     ]
 
 
+def fit_indexers(
+    df: DataFrame, columns: Sequence[str], limit: int = MAX_NOMINAL_LABELS
+) -> list[StringIndexerModel]:
+    """One fitted indexer stage per column. The same models as fitting
+    StringIndexer, whose fit sends every task's label table to a single task."""
+    return indexers(stage_labels(df, columns, limit)) if columns else []
+
+
 def index_categories(df: DataFrame, indexers: Sequence[StringIndexerModel]) -> DataFrame:
     for indexer in indexers:
         df = indexer.transform(df)

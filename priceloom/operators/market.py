@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from priceloom.operators.ranking import top_k
+
 
 def with_relative_gap(df: DataFrame, target: str, estimate: str) -> DataFrame:
     """Add ``relative_gap`` = (target - estimate) / estimate; null at 0."""
@@ -22,6 +24,12 @@ def mispriced(df: DataFrame, target: str, estimate: str, threshold: float = 0.25
     )
 
 
+def most_mispriced(df: DataFrame, target: str, estimate: str, k: int, *key: str, threshold: float = 0.25) -> DataFrame:
+    """The k listings furthest off their estimate, ranked; ties by key."""
+    found = mispriced(df, target, estimate, threshold)
+    return top_k(found, k, F.desc(F.abs("relative_gap")), *[F.asc(c) for c in key])
+
+
 def price_by_region(df: DataFrame, target: str, *region: str) -> DataFrame:
     """Listing count, mean and sample standard deviation of the price."""
     return df.groupBy(*region).agg(

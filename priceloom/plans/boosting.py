@@ -28,13 +28,23 @@ class Booster:
     max_bins: int
     min_instances: int = 1
     seed: int = 42
+    # How trees are grown, not which: memory for one pass's histograms, node ids
+    # kept with the rows, rounds between checkpoints.
+    max_memory_mb: int = 256
+    cache_node_ids: bool = False
+    checkpoint_interval: int = 10
 
     def with_(self, **changes) -> Booster:
         return replace(self, **changes)
 
+    def bins(self, max_arity: int = 0) -> int:
+        """The effective bin count. Trees need at least as many bins as the
+        widest nominal feature has values, and the count holds for continuous
+        features too; the report shows it."""
+        return max(self.max_bins, max_arity)
+
     def estimator(self, label: str = LOG_TARGET, max_arity: int = 0) -> GBTRegressor:
-        """The Spark ML estimator. Trees need at least as many bins as the
-        widest categorical feature has values, so the bin count follows it."""
+        """The Spark ML estimator."""
         return GBTRegressor(
             featuresCol=FEATURES,
             labelCol=label,
@@ -44,9 +54,12 @@ class Booster:
             stepSize=self.step_size,
             subsamplingRate=self.subsampling_rate,
             featureSubsetStrategy=self.feature_subset,
-            maxBins=max(self.max_bins, max_arity),
+            maxBins=self.bins(max_arity),
             minInstancesPerNode=self.min_instances,
             seed=self.seed,
+            maxMemoryInMB=self.max_memory_mb,
+            cacheNodeIds=self.cache_node_ids,
+            checkpointInterval=self.checkpoint_interval,
         )
 
 

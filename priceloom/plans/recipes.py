@@ -7,7 +7,7 @@ by every later pass (indexing, tree building, scoring)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,18 +18,11 @@ from priceloom.functions import is_number
 from priceloom.operators import clean, encode, features, metrics, split
 from priceloom.operators.schema import LOG_TARGET, TARGET, ColumnPlan, plan_columns
 from priceloom.plans.boosting import BASIC, FEATURES, OPTIMIZED, Booster, assembler, feature_importances
-from priceloom.sources.scratch import ensure_checkpoint_dir, written
+from priceloom.sources.scratch import discard, ensure_checkpoint_dir, written
 
 # Columns the program adds under fixed names; an input may not bring its own.
 RESERVED = {split.SPLIT, split.FOLD, FEATURES, metrics.PREDICTION, metrics.EXP_PREDICTION}
 
-# Rows a training task holds at least and at most. Tree building visits every
-# partition several times per tree, so few large partitions beat many small
-# ones: below the lower bound a task costs more to start than to run.
-MIN_ROWS_PER_TASK = 20_000
-MAX_ROWS_PER_TASK = 2_000_000
-
-
 @dataclass(frozen=True)
 class Recipe:
     """Which steps a training program runs.
@@ -39,7 +32,17 @@ class Recipe:
     training rows fall into for cross-validation. ``storage`` is how the prepared
     rows are kept between passes: ``persist`` (executor memory and disk) or
     ``table`` (Parquet in the shared folder, for more rows than executors hold
-    and for jobs that must not recompute after losing one)."""
+    and for jobs that must not recompute after losing one).
+
+    ``encodings`` says how string columns enter the model, as (column, encoding)
+    pairs: ``nominal`` (the default for columns not named), ``rank`` (an ordered
+    number, any label count) or ``target_mean`` (smoothed mean of the log
+    target). A nominal column with more than ``max_labels`` labels raises.
+
+    ``train_partitions`` fixes the layout of the prepared rows: so many
+    partitions by hash of the row key, sorted by it. Boosting draws its row
+    subsample per partition, so with a subsampling rate below 1 the model
+    depends on the layout; None keeps that of the scan, without a shuffle."""
 
     name: str
     booster: Booster
@@ -48,7 +51,9 @@ class Recipe:
     derive_features: bool
     train_percent: int = split.TRAIN_PERCENT
     folds: int = split.FOLDS
-    max_stage_labels: int = encode.MAX_STAGE_LABELS
+    max_labels: int = encode.MAX_NOMINAL_LABELS
+    encodings: tuple[tuple[str, str], ...] = ()
+    train_partitions: int | None = None
     storage: str = "persist"
 
     def with_(self, **changes) -> Recipe:
@@ -70,11 +75,14 @@ class Prepared:
     plan: ColumnPlan
     recipe: Recipe
     numeric: tuple[str, ...]
-    stage_categories: tuple[str, ...]
-    wide_categories: tuple[str, ...]
+    encodings: tuple[tuple[str, str], ...]
     n_rows: int
     n_columns: int
     n_unlabelled: int
+    owned: list[str] = field(default_factory=list, compare=False)
+
+    def encoded_as(self, kind: str) -> list[str]:
+        return [c for c, encoding in self.encodings if encoding == kind]
 
     @property
     def train(self) -> DataFrame:
@@ -86,19 +94,24 @@ class Prepared:
 
     @property
     def inputs(self) -> list[str]:
-        """Model inputs: numeric features, then the indexed categories in
+        """Model inputs: numeric features, then the encoded categories in
         schema order."""
-        indexed = [encode.indexed_name(c) for c in self.plan.categorical]
-        return [*self.numeric, *indexed]
+        return [*self.numeric, *[encode.output_name(c, kind) for c, kind in self.encodings]]
+
+    def fit_columns(self, df: DataFrame) -> DataFrame:
+        """Only what a fit reads, before rows are stored for it."""
+        return df.select(*self.numeric, *self.plan.categorical, LOG_TARGET)
 
     def release(self) -> None:
+        """Give up the stored rows and everything written for fits on them."""
         if self.recipe.storage == "persist":
             self.frame.unpersist()
+        discard(self.frame.sparkSession, self.owned)
 
 
 def _profile(df: DataFrame, plan: ColumnPlan, recipe: Recipe):
     """One row of statistics in one pass: row counts, label mean and standard
-    deviation, and estimated label counts of the categories."""
+    deviation."""
     label = F.when(is_number(LOG_TARGET), F.col(LOG_TARGET))
     fitted = F.when(F.col(split.SPLIT) == "train", label) if recipe.outlier_stats == "train" else label
     return df.agg(
@@ -106,27 +119,34 @@ def _profile(df: DataFrame, plan: ColumnPlan, recipe: Recipe):
         F.count(label).alias("n_labelled"),
         F.mean(fitted).alias("mean"),
         F.stddev_samp(fitted).alias("stddev"),
-        *encode.approx_labels(plan.categorical),
     ).first()
 
 
-def _spread(df: DataFrame, rows: int) -> DataFrame:
-    """Partition the rows for many passes: every core busy once there are rows
-    enough for it, and no task above its bound. Only growing moves rows.
-    ``df`` is a scan with narrow steps, so its partitions are known up front.
-
-    Boosting pairs rows with their errors by position, so a partition that is
-    computed again after an executor is lost must come back in the same order.
-    Scans do; rows that were moved are therefore sorted within partitions."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    useful = min(cores, max(1, rows // MIN_ROWS_PER_TASK))
-    wanted = max(useful, -(-rows // MAX_ROWS_PER_TASK))
-    current = df.rdd.getNumPartitions()
-    if current == wanted:
+def _laid_out(df: DataFrame, partitions: int | None, key: Sequence[str]) -> DataFrame:
+    """The rows in the recipe's layout. It depends on the rows and on
+    ``partitions`` alone, and a partition that is computed again after a lost
+    executor comes back in the same order, as boosting needs."""
+    if partitions is None:
         return df
-    if current > wanted:
-        return df.coalesce(wanted)
-    return df.repartition(wanted).sortWithinPartitions(*df.columns)
+    return df.repartition(partitions, *key).sortWithinPartitions(*key)
+
+
+def _encodings(plan: ColumnPlan, recipe: Recipe) -> tuple[tuple[str, str], ...]:
+    """(column, encoding) of every categorical column, in schema order."""
+    chosen = dict(recipe.encodings)
+    unknown = sorted(set(chosen) - set(plan.categorical)) + sorted(set(chosen.values()) - set(encode.ENCODINGS))
+    if unknown:
+        raise ValueError(f"encodings name no categorical column or no encoding: {unknown}")
+    return tuple((c, chosen.get(c, encode.NOMINAL)) for c in plan.categorical)
+
+
+def _check_names(df: DataFrame, used: Sequence[str], plan: ColumnPlan, numeric: Sequence[str], encodings) -> None:
+    """Columns that the program adds may not meet an input of that name."""
+    encoded = {encode.output_name(c, kind) for c, kind in encodings}
+    taken = (RESERVED | encoded) & set(used)
+    taken |= {c for c in numeric if c in plan.categorical or c in plan.row_key or c == plan.target}
+    if taken:
+        raise ValueError(f"rename these input columns, the program adds columns of that name: {sorted(taken)}")
 
 
 def featurize(df: DataFrame, plan: ColumnPlan, recipe: Recipe) -> tuple[DataFrame, list[str]]:
@@ -153,9 +173,9 @@ def prepare(
     hashed, so only exact copies are sure to stay on one side."""
     plan = plan_columns(df.schema, target, row_key)
     used = list(dict.fromkeys([*row_key, plan.target, *plan.numeric, *plan.categorical]))
-    reserved = RESERVED & set(used)
-    if reserved:
-        raise ValueError(f"rename these input columns, the program adds columns of that name: {sorted(reserved)}")
+    encodings = _encodings(plan, recipe)
+    made = features.derive(df, plan.numeric)[1] if recipe.derive_features else plan.numeric
+    _check_names(df, used, plan, made, encodings)
     key = list(row_key) or used
     rows = (
         df.select(*used)
@@ -170,12 +190,12 @@ def prepare(
         width = clean.SIGMAS * stats["stddev"]
         lower, upper = stats["mean"] - width, stats["mean"] + width
         rows = rows.filter(clean.inside(LOG_TARGET, F.lit(lower), F.lit(upper)))
-    rows = _spread(rows, stats["n_labelled"])
+    rows = _laid_out(rows, recipe.train_partitions, key)
     rows, numeric = featurize(rows, plan, recipe)
 
-    wide = [c for c in plan.categorical if stats[f"labels_{c}"] > recipe.max_stage_labels]
+    owned: list[str] = []
     if recipe.storage == "table":
-        rows = written(rows, "prepared")
+        rows = written(rows, "prepared", owned)
     else:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     return Prepared(
@@ -183,40 +203,47 @@ def prepare(
         plan=plan,
         recipe=recipe,
         numeric=tuple(numeric),
-        stage_categories=tuple(c for c in plan.categorical if c not in wide),
-        wide_categories=tuple(wide),
+        encodings=encodings,
         n_rows=stats["n_rows"],
         n_columns=len(df.columns),
         n_unlabelled=stats["n_rows"] - stats["n_labelled"],
+        owned=owned,
     )
 
 
 @dataclass(frozen=True)
 class Encoders:
-    """Category encoders fitted on one set of training rows."""
+    """Category encoders fitted on one set of training rows: model stages for
+    nominal columns, tables for ranks and target means."""
 
     stages: tuple
-    wide: dict[str, DataFrame]
+    ranks: dict[str, DataFrame]
+    means: dict[str, encode.TargetMeans]
     max_arity: int
 
-    def widen(self, df: DataFrame, stored: bool = False) -> DataFrame:
-        """Index the categories that are too many for a model stage. With
-        ``stored`` the looked-up rows are written to the shared folder: a fit
-        reads them several times, and always in the same order."""
-        for column, table in self.wide.items():
+    def widen(self, df: DataFrame, owned: list[str] | None = None) -> DataFrame:
+        """Add the columns that come from tables. With ``owned`` the rows are
+        written to the shared folder, as a fit reads them several times, always
+        in the same order; whoever owns the list discards them."""
+        for column, table in self.ranks.items():
             df = encode.apply_index(df, table, column)
-        return written(df, "widened") if stored and self.wide else df
+        for column, means in self.means.items():
+            df = encode.apply_target_means(df, means, column, encode.output_name(column, encode.TARGET_MEAN))
+        return written(df, "widened", owned) if owned is not None and (self.ranks or self.means) else df
 
 
-def fit_encoders(prepared: Prepared, train: DataFrame) -> Encoders:
-    """Fit all indexers on ``train``. Columns within the label bound are counted
-    in one pass and reach the trees as nominal features; wider columns get the
-    same numbering from a distributed table and act as ordered numbers."""
-    narrow = prepared.stage_categories
-    stages = tuple(encode.fit_indexers(train, narrow)) if narrow else ()
+def fit_encoders(prepared: Prepared, train: DataFrame, labels: dict[str, list[str]] | None = None) -> Encoders:
+    """Fit all encoders on ``train``. Nominal columns are counted in one pass,
+    unless their ``labels`` are known."""
+    nominal = prepared.encoded_as(encode.NOMINAL)
+    if labels is None:
+        stages = tuple(encode.fit_indexers(train, nominal, prepared.recipe.max_labels))
+    else:
+        stages = tuple(encode.indexers(labels))
     arity = max((1 + len(stage.labels) for stage in stages), default=0)
-    wide = {c: encode.frequency_index(train, c) for c in prepared.wide_categories}
-    return Encoders(stages, wide, arity)
+    ranks = {c: encode.frequency_index(train, c) for c in prepared.encoded_as(encode.RANK)}
+    means = {c: encode.target_means(train, c, LOG_TARGET) for c in prepared.encoded_as(encode.TARGET_MEAN)}
+    return Encoders(stages, ranks, means, arity)
 
 
 @dataclass(frozen=True)
@@ -254,12 +281,13 @@ def fit(prepared: Prepared, booster: Booster | None = None) -> Fitted:
     encoders = fit_encoders(prepared, prepared.train)
     trees = (booster or prepared.recipe.booster).estimator(max_arity=encoders.max_arity)
     pipeline = Pipeline(stages=[*encoders.stages, assembler(prepared.inputs), trees])
-    return Fitted(prepared, encoders, pipeline.fit(encoders.widen(prepared.train, stored=True)))
+    train = encoders.widen(prepared.fit_columns(prepared.train), prepared.owned)
+    return Fitted(prepared, encoders, pipeline.fit(train))
 
 
-def vectors(prepared: Prepared, encoders: Encoders, df: DataFrame, stored: bool = False) -> DataFrame:
+def vectors(prepared: Prepared, encoders: Encoders, df: DataFrame, owned: list[str] | None = None) -> DataFrame:
     """``df`` with its ``features`` vector, before any model is fitted."""
-    encoded = encode.index_categories(encoders.widen(df, stored), encoders.stages)
+    encoded = encode.index_categories(encoders.widen(df, owned), encoders.stages)
     return assembler(prepared.inputs).transform(encoded)
 
 

@@ -1,10 +1,11 @@
 from priceloom.sources.readers import SourceUnavailable, json_to_csv, read_first, read_table
-from priceloom.sources.scratch import checkpointed, ensure_checkpoint_dir, scratch_path, written
+from priceloom.sources.scratch import checkpointed, discard, ensure_checkpoint_dir, scratch_path, written
 from priceloom.sources.writers import load_model, save_model, write_table
 
 __all__ = [
     "SourceUnavailable",
     "checkpointed",
+    "discard",
     "ensure_checkpoint_dir",
     "json_to_csv",
     "load_model",

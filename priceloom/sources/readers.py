@@ -9,8 +9,9 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# Error classes that mean "nothing to read here", as opposed to a bad file.
-MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+# Error classes that mean "nothing to read here", as opposed to a bad or empty
+# source, which raises.
+MISSING = {"PATH_NOT_FOUND"}
 # Java exceptions that mean the file system itself cannot be reached.
 UNREACHABLE = (
     "UnknownHostException",

@@ -6,6 +6,7 @@ one process, may fall back to a folder of its own."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if active is None:
         folder = configured
         if not folder:
-            if not context.master.startswith("local"):
+            if not re.match(r"local($|\[)", context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="priceloom-")
         context.setCheckpointDir(folder)
@@ -39,9 +40,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, owned: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back, so the
-    rows outlive any executor without being recomputed."""
+    rows outlive any executor without being recomputed. The path is added to
+    ``owned`` first, so that whoever owns it can discard it on an error too."""
     path = scratch_path(df.sparkSession, name)
+    if owned is not None:
+        owned.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, owned: list[str]) -> None:
+    """Delete scratch tables that are no longer read, and empty the list."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while owned:
+        path = jvm.org.apache.hadoop.fs.Path(owned.pop())
+        path.getFileSystem(conf).delete(path, True)

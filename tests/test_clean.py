@@ -85,3 +85,13 @@ def test_outlier_filter_plan_has_no_join(spark, plan_of, sf_dir):
     plan = plan_of(clean.keep_within_sigma(clean.with_log_target(df, "price")))
     assert "Join" not in plan and "CartesianProduct" not in plan
     assert "l_comment" not in plan and "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double>" in plan
+
+
+def test_infinite_and_nan_bounds_do_not_restrict(spark):
+    df = spark.createDataFrame([(float(i % 4),) for i in range(40)] + [(float("inf"),), (None,)], "v double")
+    assert clean.keep_within_sigma(df, "v").count() == 40
+    assert clean.target_stats(df, "v").first()["n"] == 40
+    row = clean.outlier_counts(df, "v").first()
+    assert (row["n_rows"], row["n_kept"], row["n_unlabelled"]) == (42, 40, 2)
+    nan = F.lit(float("nan"))
+    assert df.filter(clean.inside("v", nan, nan)).count() == 40

@@ -20,7 +20,7 @@ def test_stage_index(spark, cats):
 
 def test_same_models_as_the_built_in_fit(spark, skewed):
     df = skewed.selectExpr("k", "concat('m', id % 4) as m", "cast(null as string) as nothing")
-    mine = encode.fit_indexers(df, df.columns)
+    mine = encode.fit_indexers(df, df.columns, limit=2000)
     names = [encode.indexed_name(c) for c in df.columns]
     built_in = StringIndexer(inputCols=df.columns, outputCols=names, handleInvalid="keep").fit(df)
     assert [list(m.labels) for m in mine] == [list(labels) for labels in built_in.labelsArray]
@@ -50,7 +50,7 @@ def skewed(spark):
 @pytest.mark.parametrize("limit", [encode.BROADCAST_BYTES, 0])
 def test_both_lookups_agree_with_the_stage(skewed, limit):
     train = skewed.filter("id % 5 < 4")
-    stage = encode.index_categories(skewed, encode.fit_indexers(train, ["k"]))
+    stage = encode.index_categories(skewed, encode.fit_indexers(train, ["k"], limit=2000))
     wide = encode.apply_index(skewed, encode.frequency_index(train, "k"), "k", limit)
     assert wide.columns == [*skewed.columns, "k_indexed"]
     want = {r["id"]: r["k_indexed"] for r in stage.collect()}
@@ -90,10 +90,19 @@ def test_label_counts_are_partially_aggregated(skewed, plan_of):
     assert plan.count("HashAggregate") == 2 and "partial_count" in plan
 
 
-def test_approx_labels_share_one_pass(skewed):
-    row = skewed.agg(*encode.approx_labels(["k"])).first()
+def test_too_many_nominal_labels_raise_with_the_count(skewed):
     exact = skewed.agg(F.countDistinct("k")).first()[0]
-    assert abs(row["labels_k"] / exact - 1) < 0.15
+    with pytest.raises(ValueError, match=f"'k' has {exact} labels"):
+        encode.fit_indexers(skewed, ["k"], limit=exact - 1)
+    assert len(encode.fit_indexers(skewed, ["k"], limit=exact)[0].labels) == exact
+
+
+def test_fold_labels_are_those_of_the_rows_outside(skewed):
+    df = skewed.withColumn("fold", F.col("id") % 3)
+    by_fold = encode.fold_labels(df, ["k"], "fold", limit=10_000)
+    assert sorted(by_fold) == [0, 1, 2]
+    for k, labels in by_fold.items():
+        assert labels == encode.stage_labels(df.filter(F.col("fold") != k), ["k"], limit=10_000)
 
 
 @pytest.mark.parametrize("limit", [encode.BROADCAST_BYTES, 0])

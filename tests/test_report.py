@@ -22,6 +22,7 @@ def test_sections(tuned_report):
     sections = list(dict.fromkeys(r["section"] for r in tuned_report))
     assert sections == [
         "dataset",
+        "encoding",
         "tuning",
         "training",
         "log_scale",

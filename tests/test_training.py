@@ -1,4 +1,5 @@
 import math
+import pathlib
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -117,22 +118,61 @@ def test_bins_follow_the_widest_category(spark):
     prepared.release()
 
 
-def test_wide_categories_give_the_same_vectors(spark, signal):
-    narrow = recipes.prepare(signal, recipes.TUNED_RECIPE, row_key=KEY)
-    wide = recipes.prepare(signal, recipes.TUNED_RECIPE.with_(max_stage_labels=1), row_key=KEY)
-    assert wide.wide_categories == ("property_type", "city") and wide.stage_categories == ()
+def test_encodings_are_the_callers_choice(spark, signal):
+    """Ranks are the nominal indices as numbers; no label count changes them."""
+    nominal = recipes.prepare(signal, recipes.TUNED_RECIPE, row_key=KEY)
+    chosen = (("property_type", "rank"), ("city", "rank"))
+    ranked = recipes.prepare(signal, recipes.TUNED_RECIPE.with_(encodings=chosen), row_key=KEY)
+    assert ranked.encoded_as("rank") == ["property_type", "city"] and ranked.encoded_as("nominal") == []
     frames = []
-    for prepared in (narrow, wide):
+    for prepared in (nominal, ranked):
         encoders = recipes.fit_encoders(prepared, prepared.train)
         vectors = recipes.vectors(prepared, encoders, prepared.test)
         frames.append(vectors.select(*KEY, vector_to_array("features").alias("features")))
     assert frames[0].exceptAll(frames[1]).count() == 0 and frames[0].count() == frames[1].count()
-    fitted = recipes.fit(wide, TINY)
-    assert fitted.score(wide.test).count() == wide.test.count()
-    scores = tuning.cross_validate(wide, GRID)
+    fitted = recipes.fit(ranked, TINY)
+    assert fitted.score(ranked.test).count() == ranked.test.count()
+    scores = tuning.cross_validate(ranked, GRID)
     assert scores.count() == 5 and scores.filter("r2 is null").count() == 0
-    narrow.release()
-    wide.release()
+    nominal.release()
+    ranked.release()
+    with pytest.raises(ValueError, match="nowhere"):
+        recipes.prepare(signal, recipes.TUNED_RECIPE.with_(encodings=(("nowhere", "rank"),)), row_key=KEY)
+    with pytest.raises(ValueError, match="'property_type' has 3 labels"):
+        recipes.fit(recipes.prepare(signal, recipes.TUNED_RECIPE.with_(max_labels=2), row_key=KEY))
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, signal):
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    names = lambda: {p.name for p in folder.iterdir() if p.name.startswith(("prepared", "widened"))}
+    before = names()
+    chosen = (("property_type", "rank"), ("city", "target_mean"))
+    recipe = recipes.TUNED_RECIPE.with_(encodings=chosen, storage="table")
+    prepared = recipes.prepare(signal, recipe, row_key=KEY)
+    tuned = tuning.tune(prepared, GRID)
+    assert tuned.fitted.score(prepared.test).count() == prepared.test.count()
+    assert names() > before
+    prepared.release()
+    assert names() == before
+
+
+@pytest.mark.parametrize(
+    "row, name",
+    [("'a' as city, 1.0D as city_indexed", "city_indexed"), ("2.0D as living_area, 'x' as living_area_squared", "living_area_squared")],
+)
+def test_clashing_names_raise(spark, row, name):
+    df = spark.range(20).selectExpr("id", "double(id) as price", *row.split(", "))
+    with pytest.raises(ValueError, match=name):
+        recipes.prepare(df, recipes.OPTIMIZED_RECIPE, row_key=["id"])
+
+
+def test_infinite_labels_are_dropped_and_counted(spark):
+    rows = [(i, 100.0 + i % 5, i % 3) for i in range(300)]
+    rows += [(900, float("inf"), 1), (901, float("-inf"), 1), (902, float("nan"), 1), (903, None, 1)]
+    df = spark.createDataFrame(rows, "id int, price double, rooms int")
+    prepared = recipes.prepare(df, recipes.OPTIMIZED_RECIPE.with_(booster=TINY), row_key=["id"])
+    assert (prepared.n_unlabelled, prepared.frame.count()) == (4, 300)
+    prepared.release()
 
 
 def test_stored_as_a_table(signal):
@@ -200,9 +240,22 @@ def test_a_repeated_run_gives_the_same_model(signal):
     assert predictions[0] == predictions[1]
 
 
-def test_moved_rows_are_ordered_within_partitions(spark, plan_of):
-    few = spark.range(200_000).selectExpr("id", "id % 13 as price").coalesce(1)
-    spread = recipes._spread(few, 200_000)
-    assert spread.rdd.getNumPartitions() == 4
-    assert "Sort [id#" in plan_of(spread)
-    assert recipes._spread(spark.range(0, 100, 1, 8), 100).rdd.getNumPartitions() == 1
+def test_a_fixed_layout_gives_the_same_model_for_any_scan(spark, signal):
+    """Subsampling is drawn per partition; with a layout of the recipe's own,
+    neither input partitions nor cores change the estimates."""
+    predictions = []
+    recipe = recipes.OPTIMIZED_RECIPE.with_(booster=TINY, train_partitions=3)
+    for rows in (signal, signal.repartition(7, "l_suppkey")):
+        prepared = recipes.prepare(rows, recipe, row_key=KEY)
+        assert prepared.frame.rdd.getNumPartitions() == 3
+        scored = recipes.fit(prepared).score(prepared.test)
+        predictions.append(scored.select(*KEY, "prediction").toPandas().sort_values(list(KEY)).to_numpy().tolist())
+        prepared.release()
+    assert predictions[0] == predictions[1]
+
+
+def test_preparation_moves_no_rows_by_default(spark, signal, plan_of):
+    prepared = recipes.prepare(signal, recipes.OPTIMIZED_RECIPE.with_(storage="table"), row_key=KEY)
+    laid_out = recipes._laid_out(signal, None, KEY)
+    assert laid_out is signal and "Exchange" not in plan_of(prepared.frame)
+    prepared.release()
