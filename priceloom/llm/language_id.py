@@ -34,7 +34,7 @@ from priceloom.llm.text import LOWER, joined_bytes, slices
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 STRIDE = WINDOW - max(WIDTHS) + 1
 PER_LANGUAGE, WINDOWS_PER_TEXT, MOST_LANGUAGES = 1200, 2, 400
-EPOCHS, BATCH, RATE = 4, 128, 0.01
+EPOCHS, LEAST_STEPS, BATCH, RATE = 4, 250, 64, 0.01
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -98,7 +98,8 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
     params = [*net.tables, net.weights, net.bias]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     steps = 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // max(1, -(-len(windows) // BATCH))))
+    for _ in range(epochs if len(windows) else 0):
         order = rng.permutation(len(windows))
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]

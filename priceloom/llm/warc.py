@@ -148,9 +148,8 @@ def _captures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(entries: int):
     """Blocks of sorted entries; entries with one key stay in one block."""
-    held: list[tuple[str, str]] = []
 
     def closed(lines: list[tuple[str, str]]) -> pa.RecordBatch:
         data = zlib.compress("\n".join(line for _, line in lines).encode())
@@ -158,25 +157,29 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([lines[0][0]]), pa.array([len(lines)], pa.int32()), pa.array([data], pa.binary())], ["first_key", "entries", "data"]
         )
 
-    for batch in batches:
-        for key, file, start, size in zip(*(batch.column(c).to_pylist() for c in ("key", "file", "start", "size"))):
-            if len(held) >= BLOCK_ENTRIES and held[-1][0] != key:
-                yield closed(held)
-                held = []
-            held.append((key, f"{key}\t{file}\t{start}\t{size}"))
-    if held:
-        yield closed(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[str, str]] = []
+        for batch in batches:
+            for key, file, start, size in zip(*(batch.column(c).to_pylist() for c in ("key", "file", "start", "size"))):
+                if len(held) >= entries and held[-1][0] != key:
+                    yield closed(held)
+                    held = []
+                held.append((key, f"{key}\t{file}\t{start}\t{size}"))
+        if held:
+            yield closed(held)
+
+    return run
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
-def build_index(spark: SparkSession, archives: str, index: str) -> None:
+def build_index(spark: SparkSession, archives: str, index: str, entries: int = BLOCK_ENTRIES) -> None:
     captures = written(_files(spark, archives).mapInArrow(_captures, "key string, file string, start long, size long"), "captures")
-    shards = max(1, -(-captures.count() // (64 * BLOCK_ENTRIES)))
+    shards = max(1, -(-captures.count() // (64 * entries)))
     ordered = captures.repartitionByRange(shards, "key").sortWithinPartitions("key", "file", "start")
-    ordered.mapInArrow(_blocks, "first_key string, entries int, data binary").write.parquet(index)
+    ordered.mapInArrow(_blocks(entries), "first_key string, entries int, data binary").write.parquet(index)
 
 
 def _entries(data: bytes) -> tuple[list[str], list[list[str]]]:
