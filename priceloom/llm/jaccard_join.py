@@ -8,9 +8,11 @@ sets form one class. For the classes
 2. classes that share prefix tokens are partitioned into groups of similar
    sets, bounded in members and in tokens;
 3. the token-group matrix has one row per (token, group), the union of the
-   members' prefixes, with the bounds of their sizes. A group is opened for
-   another group only if they share a token and their sizes allow a link;
-   otherwise the bound on the overlap is zero, as the prefix rule shows;
+   members' tokens. A set is a candidate for a group with one of its prefix
+   tokens and a size that allows a link. Its counted tokens outside the group's
+   union bound its overlap with any member; a group is opened for the set's own
+   group only if that bound reaches the threshold. Groups cut from one cluster
+   are opened for each other if they share a prefix token;
 4. opened pairs of groups are compared in full: overlaps of all members by
    products of token incidence blocks, links by exact integers. Each pair of
    groups returns a spanning forest of its links, not all of them, so no link
@@ -18,9 +20,11 @@ sets form one class. For the classes
    is multiplied out;
 5. components come from star contraction on Spark.
 
-The token order puts tokens found often last, then goes by hash. Any order
-gives the same result; this one keeps passages that many documents share out of
-the prefixes. Tokens are 64-bit hashes.
+The token order: first the tokens with a hash below a fixed bound, by the exact
+number of classes that hold them and by hash, then the others by hash. Any order
+gives the same result; in this one a class with enough tokens of its own has a
+prefix that nobody shares and is done with, and passages that many documents
+share come last. Tokens are 64-bit hashes.
 
 Defined results: null text, empty text and text without words have no
 shingles and link with nothing; a text of fewer words than the width is one
@@ -36,91 +40,60 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from priceloom.llm import graph
 from priceloom.llm.common import attach, free_name, text_of, written
 from priceloom.llm.text import shingle_sets, slices
 
-#: How many frequent tokens are put last at most, and how many times a token
-#: has to be seen within a task, and overall. They change the order only.
-FREQUENT_TOKENS, LOCAL_LEAST, FREQUENT_LEAST = 200_000, 4, 40
-WINDOW_TOKENS = 4_000_000
+#: Tokens are counted if their hash is in this share of all hashes, as a multiple
+#: of the share that two linked sets may differ in.
+COUNTED = 1.4
 #: Members and tokens of a group at most (a longer text is a group of its own).
 GROUP_MEMBERS, GROUP_TOKENS = 256, 200_000
 FILTER_BITS = 1 << 24
+#: Two longs a row; above this many, sets and groups meet by shuffle.
+BROADCAST_ROWS = 500_000
 TOKEN_BLOCK = 1024
 
-ROW = "doc_id long, row_key long, set_id binary, n_shingles long, prefix array<long>"
+ROW = "doc_id long, row_key long, set_id binary, n_shingles long, counted int, prefix array<long>"
 
 
 def _ratio(threshold: float) -> Fraction:
     return Fraction(str(threshold))
 
 
-def _frequent(docs: DataFrame, width: int) -> np.ndarray:
-    """Tokens that many documents share, ascending; at most FREQUENT_TOKENS."""
+def _bound(ratio: Fraction) -> int:
+    """Hashes below this are counted."""
+    return int(min(0.49, COUNTED * float(1 - ratio)) * (1 << 64))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
 
-        def fold() -> Iterator[pa.RecordBatch]:
-            values, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= LOCAL_LEAST
-            if often.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values[often].view(np.int64)), pa.array(times[often])], ["token", "n"]
-                )
-
-        seen: set[bytes] = set()
-        for part in slices(batches, "text"):
-            for tokens in shingle_sets(part.column("text"), width):
-                digest = hashlib.blake2b(tokens.data, digest_size=8).digest()
-                if digest in seen:
-                    continue
-                seen.add(digest)
-                held.append(tokens)
-                size += len(tokens)
-            if size >= WINDOW_TOKENS:
-                yield from fold()
-                held, size = [], 0
-                seen.clear()
-        if size:
-            yield from fold()
-
-    counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.col("n") >= FREQUENT_LEAST).orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS)
-    found = np.array([row.token for row in top.select("token").collect()], dtype=np.int64).view(np.uint64)
-    return np.sort(found)
-
-
-def _prefixes(docs: DataFrame, width: int, ratio: Fraction, frequent: np.ndarray) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(frequent)
+def _prefix_length(n: Column, ratio: Fraction) -> Column:
     up, down = ratio.numerator, ratio.denominator
+    return n - F.ceil(n * up / down) + 1
+
+
+def _prefixes(docs: DataFrame, width: int, ratio: Fraction) -> DataFrame:
+    """Of each set the tokens with a counted hash, and more in order of their
+    hashes where these are fewer than the prefix needs."""
+    up, down, bound = ratio.numerator, ratio.denominator, np.uint64(_bound(ratio))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = held.value
         for part in slices(batches, "text"):
-            ids, sizes, prefixes = [], [], []
+            ids, sizes, counted, prefixes = [], [], [], []
             for tokens in shingle_sets(part.column("text"), width):
                 n = len(tokens)
                 ids.append(hashlib.blake2b(tokens.data, digest_size=16).digest())
                 sizes.append(n)
-                length = n - -(-up * n // down) + 1 if n else 0
-                if len(often) and n:
-                    at = np.searchsorted(often, tokens)
-                    last = often[np.minimum(at, len(often) - 1)] == tokens
-                    tokens = np.concatenate([tokens[~last], tokens[last]])
-                prefixes.append(tokens[:length])
+                counted.append(int(np.searchsorted(tokens, bound)))
+                prefixes.append(tokens[: max(counted[-1], n - -(-up * n // down) + 1)] if n else tokens)
             ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
             flat = np.concatenate(prefixes).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("row_key"), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), lists],
-                ["doc_id", "row_key", "set_id", "n_shingles", "prefix"],
-            )
+            columns = [part.column("doc_id"), part.column("row_key"), pa.array(ids, pa.binary())]
+            columns += [pa.array(sizes, pa.int64()), pa.array(counted, pa.int32()), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_key", "set_id", "n_shingles", "counted", "prefix"])
 
     return docs.mapInArrow(cut, ROW)
 
@@ -136,15 +109,21 @@ def _bit_filter(keys: DataFrame, column: str) -> np.ndarray:
 
 
 def _needed_sets(docs: DataFrame, width: int, bits: np.ndarray) -> DataFrame:
-    """(set_id, tokens) of the rows whose key passes the bit filter."""
+    """(row_key, set_id, tokens) of the rows whose key passes the bit filter;
+    a task returns a key once."""
     held = docs.sparkSession.sparkContext.broadcast(bits)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = held.value
+        seen: set[int] = set()
         for batch in batches:
-            keys = np.mod(batch.column("row_key").to_numpy(), FILTER_BITS)
-            hit = (table[keys // 32] >> (keys % 32).astype(np.uint32)) & 1
-            for part in slices(iter([batch.filter(pa.array(hit.astype(bool)))]), "text"):
+            keys = batch.column("row_key").to_numpy()
+            at = np.mod(keys, FILTER_BITS)
+            hit = ((table[at // 32] >> (at % 32).astype(np.uint32)) & 1).astype(bool)
+            for i in np.flatnonzero(hit).tolist():
+                hit[i] = int(keys[i]) not in seen
+                seen.add(int(keys[i]))
+            for part in slices(iter([batch.filter(pa.array(hit))]), "text"):
                 sets = shingle_sets(part.column("text"), width)
                 ids = [hashlib.blake2b(s.data, digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -155,50 +134,76 @@ def _needed_sets(docs: DataFrame, width: int, bits: np.ndarray) -> DataFrame:
     return docs.select("row_key", "text").mapInArrow(read, "row_key long, set_id binary, tokens binary")
 
 
+def _held(classes: DataFrame) -> DataFrame:
+    """The tokens that more than one class holds, with the number of those."""
+    tokens = classes.select(F.explode("prefix").alias("token"), "row_key", "n", "counted")
+    counts = written(tokens.groupBy("token").agg(F.count("*").alias("classes")).filter("classes > 1"), "token-counts")
+    return written(tokens.join(counts, "token"), "held")
+
+
+def _early(ratio: Fraction) -> Column:
+    return F.col("token").between(0, _bound(ratio) - 1)
+
+
+def _shared(held: DataFrame, ratio: Fraction) -> DataFrame:
+    """(token, row_key, n) of the prefix tokens that a class shares with some
+    class of a size that allows a link. Sorted by size, the next one above or
+    below is such a class if any is."""
+    held = held.withColumn("early", _early(ratio))
+    own = Window.partitionBy("row_key", "early")
+    place = F.row_number().over(own.orderBy("classes", "token")) + F.col("counted") - F.count("*").over(own)
+    # counted tokens that nobody shares come before these
+    first = held.withColumn("place", place).filter(~F.col("early") | (F.col("place") <= _prefix_length(F.col("n"), ratio)))
+    up, down = ratio.numerator, ratio.denominator
+    line = Window.partitionBy("token").orderBy("n")
+    near = first.withColumns({"below": F.lag("n").over(line), "above": F.lead("n").over(line)})
+    fits = (F.col("below") * down >= F.col("n") * up) | (F.col("n") * down >= F.col("above") * up)
+    return near.filter(fits).select("token", "row_key", "n")
+
+
 def _groups(tokens: DataFrame) -> DataFrame:
-    """(set_id, group) of all classes that share a prefix token. Two rounds of
+    """(row_key, n, label, grp) of all classes that share a prefix token. Two rounds of
     taking the least label among sharers bring similar sets together; the rest
     is cutting by members and tokens."""
-    label = tokens.withColumn("label", F.min("set_id").over(Window.partitionBy("token")))
-    label = label.groupBy("set_id", "n").agg(F.min("label").alias("label"))
-    again = tokens.join(label.select("set_id", "label"), "set_id")
-    again = again.withColumn("label", F.min("label").over(Window.partitionBy("token")))
-    label = again.groupBy("set_id", "n").agg(F.min("label").alias("label"))
-    line = Window.partitionBy("label").orderBy("n", "set_id").rowsBetween(Window.unboundedPreceding, 0)
-    return label.select(
-        "set_id",
-        "n",
-        F.concat(
-            F.hex("label"),
-            F.lit("/"),
-            F.greatest(
-                F.floor(F.count("*").over(line) / GROUP_MEMBERS), F.floor(F.sum("n").over(line) / GROUP_TOKENS)
-            ),
-        ).alias("grp"),
-    )
+    sharers = Window.partitionBy("token")
+    label = tokens.withColumn("label", F.min("row_key").over(sharers))
+    label = label.groupBy("row_key").agg(F.min("label").alias("label"))
+    again = tokens.join(label, "row_key").withColumn("label", F.min("label").over(sharers))
+    label = again.groupBy("row_key", "n").agg(F.min("label").alias("label"))
+    line = Window.partitionBy("label").orderBy("n", "row_key").rowsBetween(Window.unboundedPreceding, 0)
+    part = F.greatest(F.floor(F.count("*").over(line) / GROUP_MEMBERS), F.floor(F.sum("n").over(line) / GROUP_TOKENS))
+    return label.select("row_key", "n", "label", F.xxhash64("label", part).alias("grp"))
 
 
-def _group_pairs(tokens: DataFrame, groups: DataFrame, ratio: Fraction) -> DataFrame:
-    """Pairs of groups (g, h), g <= h, that have to be opened."""
-    matrix = (
-        tokens.select("token", "set_id")
-        .join(groups, "set_id")
-        .groupBy("token", "grp")
-        .agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    )
+def _group_pairs(tokens: DataFrame, held: DataFrame, groups: DataFrame, ratio: Fraction) -> DataFrame:
+    """Pairs of groups (g, h), g < h, that have to be opened."""
     up, down = ratio.numerator, ratio.denominator
+    placed = written(tokens.select("token", "row_key").join(groups, "row_key"), "placed")
+    matrix = placed.groupBy("token", "grp", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+
+    def fits(low: str, high: str) -> Column:
+        return (F.col(high) * down >= F.col("b.low") * up) & (F.col("b.high") * down >= F.col(low) * up)
+
     left, right = matrix.alias("a"), matrix.alias("b")
-    return (
-        left.join(
-            right,
-            (F.col("a.token") == F.col("b.token"))
-            & (F.col("a.grp") < F.col("b.grp"))
-            & (F.col("a.high") * down >= F.col("b.low") * up)
-            & (F.col("b.high") * down >= F.col("a.low") * up),
-        )
-        .select(F.col("a.grp").alias("g"), F.col("b.grp").alias("h"))
-        .distinct()
-    )
+    same_token, ordered = F.col("a.token") == F.col("b.token"), F.col("a.grp") < F.col("b.grp")
+    of_one = same_token & (F.col("a.label") == F.col("b.label")) & ordered & fits("a.low", "a.high")
+    within = left.join(right, of_one).select(F.col("a.grp").alias("g"), F.col("b.grp").alias("h"))
+
+    members = placed.alias("a")
+    of_two = same_token & (F.col("a.label") != F.col("b.label")) & ordered & fits("a.n", "a.n")
+    asked = members.join(right, of_two).select("a.row_key", "a.n", F.col("a.grp").alias("g"), F.col("b.grp").alias("h"))
+    asked = written(asked.distinct(), "asked")
+    own = held.filter(_early(ratio)).join(groups.select("row_key", "grp"), "row_key")
+    union = own.select("token", F.col("grp").alias("h")).distinct()
+    inside = asked.join(own.select("row_key", "token", "counted"), "row_key").join(union, ["token", "h"], "left_semi")
+    inside = inside.groupBy("row_key", "n", "counted", "g", "h").agg(F.count("*").alias("inside"))
+    # without counted tokens to judge by, a group is opened
+    few = asked.join(own.select("row_key").distinct(), "row_key", "left_anti").select("g", "h")
+    most_outside = F.col("n") - F.ceil(F.col("n") * up / down)
+    near = inside.filter(F.col("counted") - F.col("inside") <= most_outside).select("g", "h")
+    # a class may be too small for its counted tokens to bound anything
+    small = asked.join(own.select("row_key", "counted").distinct(), "row_key").filter(F.col("counted") <= most_outside)
+    return within.unionByName(near).unionByName(few).unionByName(small.select("g", "h")).distinct()
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -241,8 +246,10 @@ def _forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
     return kept
 
 
-def _members(row: dict) -> tuple[list[bytes], list[np.ndarray]]:
-    return row["ids"], [np.frombuffer(t, dtype=np.uint64) for t in row["sets"]]
+def _members(ids: list[bytes], sets: list[bytes]) -> tuple[list[bytes], list[np.ndarray]]:
+    """Distinct sets of a group."""
+    own = dict(zip(ids, sets))
+    return list(own), [np.frombuffer(t, dtype=np.uint64) for t in own.values()]
 
 
 def _open(ratio: Fraction):
@@ -253,9 +260,9 @@ def _open(ratio: Fraction):
             us, vs = [], []
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                ids, sets = _members({"ids": row["ids"], "sets": row["sets"]})
+                ids, sets = _members(row["ids"], row["sets"])
                 alone = row["other_ids"] is None
-                more_ids, more = (ids, sets) if alone else _members({"ids": row["other_ids"], "sets": row["other_sets"]})
+                more_ids, more = (ids, sets) if alone else _members(row["other_ids"], row["other_sets"])
                 shared = _overlaps(sets, more)
                 sizes, others = np.array([len(s) for s in sets]), np.array([len(s) for s in more])
                 union = sizes[:, None] + others[None, :] - shared
@@ -277,20 +284,21 @@ def _open(ratio: Fraction):
 def links(docs: DataFrame, rows: DataFrame, width: int, ratio: Fraction) -> DataFrame:
     """A spanning set of links (u, v) between set ids, for rows of _prefixes."""
     classes = rows.filter("n_shingles > 0").groupBy("set_id").agg(
-        F.min("row_key").alias("row_key"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")
+        F.min("row_key").alias("row_key"), F.first("n_shingles").alias("n"), F.first("counted").alias("counted"),
+        F.first("prefix").alias("prefix"),
     )
     classes = written(classes, "classes")
-    tokens = classes.select("set_id", "n", F.explode("prefix").alias("token"))
-    sharers = Window.partitionBy("token")
-    tokens = written(
-        tokens.withColumn("many", F.count("*").over(sharers)).filter("many > 1").select("token", "set_id", "n"), "shared"
-    )
+    held = _held(classes)
+    tokens = written(_shared(held, ratio), "shared")
     groups = written(_groups(tokens), "groups")
-    pairs = written(_group_pairs(tokens, groups, ratio), "pairs")
-    needed = classes.join(groups.select("set_id", "grp"), "set_id").select("set_id", "row_key", "grp")
-    sets = _needed_sets(docs, width, _bit_filter(needed, "row_key"))
+    pairs = written(_group_pairs(tokens, held, groups, ratio), "pairs")
+    sets = _needed_sets(docs, width, _bit_filter(groups, "row_key"))
+    needed = groups.select("row_key", "grp")
+    if groups.count() <= BROADCAST_ROWS:
+        needed = F.broadcast(needed)
     members = (
-        sets.join(needed, ["set_id", "row_key"]).dropDuplicates(["set_id"]).groupBy("grp")
+        sets.join(needed, "row_key")
+        .groupBy("grp")
         .agg(F.collect_list(F.struct("set_id", "tokens")).alias("m"))
         .select("grp", F.col("m.set_id").alias("ids"), F.col("m.tokens").alias("sets"))
     )
@@ -314,7 +322,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, threshold: float = 0.8)
     ratio = _ratio(threshold)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     base = base.withColumn("row_key", F.xxhash64("doc_id", F.xxhash64("text")))
-    rows = written(_prefixes(base, width, ratio, _frequent(base, width)), "prefixes")
+    rows = written(_prefixes(base, width, ratio), "prefixes")
     classes = rows.filter("n_shingles > 0").groupBy("set_id").agg(
         F.count("*").alias("rows"), F.min("doc_id").alias("low"), F.min("row_key").alias("low_key")
     )
