@@ -34,6 +34,9 @@ from priceloom.llm.text import slices
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MEMO_WORDS, MEMO_PIECES = 250_000, 200_000
+#: The same where ids are returned and a worker may share its executor's memory
+#: with the stages before.
+SMALL_MEMO = 120_000, 80_000
 NO_RANK, ALONE = 1 << 40, 0xFFFFFFFF
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: White space counts alike for this expression and the pattern above, unless a
@@ -93,7 +96,8 @@ class SlotMap:
 class Bpe:
     """One vocabulary, loaded once per Python worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: tuple[int, int] | None = None):
+        self.most_words, self.most_pieces = memo or (MEMO_WORDS, MEMO_PIECES)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         stand_in = _byte_characters()
@@ -224,7 +228,7 @@ class Bpe:
         at = np.searchsorted(self.known, keys)
         fresh = np.unique(keys[(at >= len(self.known)) | (self.known[np.minimum(at, max(len(self.known) - 1, 0))] != keys)]) if len(self.known) else np.unique(keys)
         if len(fresh):
-            if len(self.known) > 4 * MEMO_WORDS:
+            if len(self.known) > 4 * self.most_words:
                 self.known, self.verdict = self.known[:0], self.verdict[:0]
                 return self._verdicts(keys)
             claims = [(k >> 32,) if k & ALONE == ALONE else (k >> 32, k & ALONE) for k in fresh.tolist()]
@@ -273,7 +277,7 @@ class Bpe:
         ]
         memo = self.memo
         missing = list({w for ws in split for w in ws if w not in memo})
-        if len(memo) + len(missing) > MEMO_WORDS:
+        if len(memo) + len(missing) > self.most_words:
             self.memo = memo = {}
             missing = list({w for ws in split for w in ws})
         fresh = self.encode_words([w for w in missing if w not in self.added])
@@ -294,7 +298,7 @@ class Bpe:
         """For each text, for each of its pieces: ids, ids in decimals, and the
         bytes the ids decode to."""
         cut = [self.cut_text(t) for t in texts]
-        if len(self.pieces) > MEMO_PIECES:
+        if len(self.pieces) > self.most_pieces:
             self.pieces, self.older = {}, self.pieces
         pieces, older = self.pieces, self.older
         new = {p for ps in cut for p in ps if p not in pieces}
@@ -311,31 +315,38 @@ class Bpe:
         return np.concatenate([[0], np.cumsum([len(b) for b in whole])]), np.frombuffer(b"".join(whole), dtype=np.uint8)
 
 
-_loaded: dict[str, Bpe] = {}
+_loaded: dict[tuple, Bpe] = {}
 
 
-def loaded(path: str) -> Bpe:
-    if path not in _loaded:
+def loaded(path: str, memo: tuple[int, int] | None = None) -> Bpe:
+    if (path, memo) not in _loaded:
         gc.disable()  # millions of remembered tuples, and no cycles among them
-        _loaded[path] = Bpe(path)
-    return _loaded[path]
+        _loaded[path, memo] = Bpe(path, memo)
+    return _loaded[path, memo]
+
+
+def _digest(decoded: bytes) -> str:
+    return hashlib.sha256(decoded.decode("utf-8", "replace").encode()).hexdigest()
 
 
 def encode(docs: DataFrame, path: str | None = None, text_column: str = "text") -> DataFrame:
-    """Adds the column ``ids`` (array of int) to all columns of docs."""
+    """Adds to all columns of docs ``ids`` (array of int) and ``decoded_sha256``,
+    the digest of the text that these ids decode to."""
     path = path or default_vocabulary()
-    fields = [f for f in docs.schema.fields if f.name != "ids"]
-    schema = StructType([*fields, StructField("ids", ArrayType(IntegerType()))])
+    added = ("ids", "decoded_sha256")
+    fields = [f for f in docs.schema.fields if f.name not in added]
+    schema = StructType([*fields, StructField("ids", ArrayType(IntegerType())), StructField(added[1], StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path)
+        bpe = loaded(path, SMALL_MEMO)
         for part in slices(batches, text_column):
             coded = bpe.encode_batch([t or "" for t in part.column(text_column).to_pylist()])
             ends = np.cumsum([0] + [sum([len(p[0]) for p in text]) for text in coded])
             flat = np.fromiter((i for text in coded for piece in text for i in piece[0]), np.int32, int(ends[-1]))
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            arrays = [part.column(f.name) for f in fields] + [ids]
-            yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields] + ["ids"])
+            digests = [_digest(b"".join([p[2] for p in text])) for text in coded]
+            arrays = [part.column(f.name) for f in fields] + [ids, pa.array(digests, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, [*(f.name for f in fields), *added])
 
     return docs.mapInArrow(run, schema)
 
@@ -377,8 +388,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
             for text in coded:
                 counts.append(sum([len(p[0]) for p in text]))
                 listed.append(hashlib.sha256(",".join([p[1] for p in text]).encode()).hexdigest())
-                whole = b"".join([p[2] for p in text]).decode("utf-8", "replace")
-                decoded.append(hashlib.sha256(whole.encode()).hexdigest())
+                decoded.append(_digest(b"".join([p[2] for p in text])))
             arrays = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(listed), pa.array(decoded)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
