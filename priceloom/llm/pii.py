@@ -4,13 +4,20 @@ Four expressions give the base spans: email, ip, card and phone, leftmost and
 non-overlapping in each kind, with offsets in code points. They are the seeds.
 
 Every word with a digit or an at sign is an instance; the words left and right of
-it are its lexical patterns. Spark scores the graph of patterns and instances in
-ROUNDS rounds: a pattern is as good as the mean score of the distinct instances
-it stands by (with one more in the divisor), an instance is as good as its
-patterns together, 1 - product(1 - score), and a seed scores 1. Patterns of at
-least LEAST_SEEDS distinct seeds and LEAST_PATTERN score count. An instance
-outside the base spans that reaches LEAST_INSTANCE is an unseen identifier, and
-each of its places beside such a pattern is a span of the kind ``id``.
+it, instances among them, are its lexical patterns. Spark scores the graph of
+patterns and instances in ROUNDS rounds. An instance is as good as its patterns
+together, 1 - product(1 - score), and a seed scores 1. An instance outside the
+base spans that reaches LEAST_INSTANCE is an unseen identifier, and from then on
+it counts as a seed with that score. A pattern has found the sum of the scores of
+its distinct seeds; its score is found / (found + against + log10(1 + unknown)),
+the logarithm counting as 1 at least.
+Instances that are not seeds are unknown and do not speak against a pattern,
+whatever their number, except for its logarithm. What speaks against it are those
+that stand between it and a word known to go with other things: one that stands by
+no seed of this pattern, and elsewhere by LEAST_SEEDS instances, and SURER times
+the pattern's seeds, or more, of which less than SEEDLESS are seeds. Patterns of at least LEAST_SEEDS distinct seeds and
+LEAST_PATTERN score count. Each place of an unseen identifier beside such a
+pattern is a span of the kind ``id``.
 
 The expressions match what their plain forms do, in linear time: a run of
 characters is tried once, from its start or the end of the match before, and
@@ -39,7 +46,7 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 INSTANCE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 ROUNDS, LEAST_SEEDS, LEAST_PATTERN, LEAST_INSTANCE = 3, 3, 0.6, 0.8
-CONTEXT_CHARACTERS = 60
+SEEDLESS, SURER, CONTEXT_CHARACTERS = 0.05, 2, 60
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -53,20 +60,30 @@ def _matched(text: Column, name: str, pattern: str, hint: str) -> list[Column]:
     ]
 
 
+def _blank(text: Column) -> Column:
+    return F.translate(text, "\n\t\r\f\x0b", "     ")
+
+
 def _places(name: str) -> Column:
     """Matches as (start, value, before, after): the texts between the matches
-    give the offsets."""
+    give the offsets. Where only blanks are between two matches, each is what
+    stands beside the other."""
     between, values = F.col(f"{name}_between"), F.col(f"{name}_values")
     empty = F.array().cast("array<struct<start:int,value:string,before:string,after:string>>")
 
     def step(held: Column, at: Column) -> Column:
         before, value = F.get(held["between"], at), F.get(held["values"], at)
         start = held["at"] + F.char_length(before)
+        left, right = F.rtrim(_blank(before)), F.ltrim(_blank(F.get(held["between"], at + 1)))
         place = F.struct(
             start.alias("start"),
             value.alias("value"),
-            F.right(before, F.lit(CONTEXT_CHARACTERS)).alias("before"),
-            F.left(F.get(held["between"], at + 1), F.lit(CONTEXT_CHARACTERS)).alias("after"),
+            F.when((left == "") & (at > 0), F.get(held["values"], at - 1))
+            .otherwise(F.right(left, F.lit(CONTEXT_CHARACTERS)))
+            .alias("before"),
+            F.when(right == "", F.coalesce(F.get(held["values"], at + 1), F.lit("")))
+            .otherwise(F.left(right, F.lit(CONTEXT_CHARACTERS)))
+            .alias("after"),
         )
         return F.struct(
             held["between"].alias("between"),
@@ -138,8 +155,6 @@ def listed(spans: Column) -> Column:
 def _instances() -> Column:
     """Words with a digit or at sign, without marks around them, and the words
     beside them."""
-    blank = lambda c: F.translate(c, "\n\t\r\f", "    ")
-
     def place(p: Column) -> Column:
         lead = F.char_length(p["value"]) - F.char_length(F.regexp_replace(p["value"], r"^[\"'(\[<]++", ""))
         bare = F.regexp_replace(F.regexp_replace(p["value"], r"^[\"'(\[<]++", ""), r"[\"')\]>.,;:!?]++$", "")
@@ -147,8 +162,8 @@ def _instances() -> Column:
             (p["start"] + lead).alias("start"),
             (p["start"] + lead + F.char_length(bare)).alias("end"),
             F.lower(bare).alias("instance"),
-            F.lower(F.substring_index(F.rtrim(blank(p["before"])), " ", -1)).alias("left"),
-            F.lower(F.substring_index(F.ltrim(blank(p["after"])), " ", 1)).alias("right"),
+            F.lower(F.substring_index(_blank(p["before"]), " ", -1)).alias("left"),
+            F.lower(F.substring_index(_blank(p["after"]), " ", 1)).alias("right"),
         )
 
     found = F.transform(_places("word"), place)
@@ -156,45 +171,77 @@ def _instances() -> Column:
     return F.when(F.size("word_values") > 0, found).otherwise(F.array().cast(kind))
 
 
-def _scored(edges: DataFrame) -> DataFrame:
-    """(pattern, score, seeds) after the last round, for edges (pattern,
-    instance, seed)."""
-    instances = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    for step in range(ROUNDS):
-        patterns = (
-            edges.join(instances, "instance")
-            .groupBy("pattern")
-            .agg((F.sum("score") / (F.count("*") + 1)).alias("score"), F.sum(F.col("seed").cast("long")).alias("seeds"))
-        )
-        patterns = written(patterns, "pattern-scores")
-        if step == ROUNDS - 1:
-            return patterns
-        good = patterns.filter((F.col("seeds") >= LEAST_SEEDS) & (F.col("score") >= LEAST_PATTERN))
-        rated = edges.join(good.select("pattern", F.col("score").alias("by")), "pattern", "left")
-        together = 1 - F.exp(F.sum(F.log1p(-F.coalesce(F.col("by"), F.lit(0.0)))))
-        instances = rated.groupBy("instance").agg(
-            F.greatest(F.max(F.col("seed").cast("double")), together).alias("score")
-        )
-        instances = written(instances, "instance-scores")
-    return patterns
+def _against(both: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, against): the instances that stand between a pattern and a word
+    known to go with other things. ``both`` has (left, right, n, seeds) for the
+    distinct instances between two patterns, ``patterns`` (pattern, n, seeds)."""
+    # a pattern that cannot count is not judged, and a pair with a seed in it is no evidence
+    enough = patterns.filter(F.col("seeds") >= LEAST_SEEDS).select("pattern", F.col("seeds").alias("own"))
+    ways = [(F.col(x).alias("pattern"), F.col(y).alias("other"), F.col("n").alias("between")) for x, y in (("left", "right"), ("right", "left"))]
+    pairs = both.filter("seeds = 0").select(*ways[0]).unionByName(both.filter("seeds = 0").select(*ways[1]))
+    sided = written(pairs.join(enough, "pattern"), "pairs")
+    times = sided.groupBy("other").agg(F.count("*").alias("times"))
+    known = patterns.select(F.col("pattern").alias("other"), F.col("n").alias("all"), F.col("seeds").alias("all_seeds"))
+    rated = attach(sided, written(times.join(known, "other"), "others"), ["other"], "times", sided.count())
+    elsewhere = F.col("all") - F.col("between")
+    speaks = (elsewhere >= F.greatest(F.lit(LEAST_SEEDS), SURER * F.col("own"))) & (F.col("all_seeds") < SEEDLESS * elsewhere)
+    return rated.filter(speaks).groupBy("pattern").agg(F.sum("between").alias("against"))
+
+
+def _good(edges: DataFrame, triples: DataFrame) -> DataFrame:
+    """(pattern, score, times) of the patterns that count, for edges (pattern,
+    instance, known) and triples (left, right, instance, known), known being the
+    score of a seed or null."""
+    seeds = F.count("known").alias("seeds")
+    patterns = edges.groupBy("pattern").agg(F.count("*").alias("n"), seeds, F.sum("known").alias("found"))
+    patterns = written(patterns, "patterns")
+    both = triples.filter("left != '' and right != ''").groupBy("left", "right").agg(F.count("*").alias("n"), seeds)
+    both = both.select(F.concat(F.lit("L "), F.col("left")).alias("left"), F.concat(F.lit("R "), F.col("right")).alias("right"), "n", "seeds")
+    enough = patterns.filter(F.col("seeds") >= LEAST_SEEDS)
+    judged = enough.join(_against(written(both, "both"), patterns), "pattern", "left")
+    against = F.coalesce(F.col("against"), F.lit(0))
+    unknown = F.log10(1.0 + F.col("n") - F.col("seeds"))
+    score = F.col("found") / (F.col("found") + against + F.greatest(F.lit(1.0), unknown))
+    judged = judged.select("pattern", score.alias("score"), F.col("n").alias("times"))
+    return written(judged.filter(F.col("score") >= LEAST_PATTERN), "good")
 
 
 def discovered(places: DataFrame) -> DataFrame:
     """(row_key, start, end) of unseen identifiers, for rows (row_key, start,
     end, instance, left, right, seed)."""
+    known = F.when(F.col("seed"), F.lit(1.0)).alias("known")
+    triples = places.groupBy("left", "right", "instance").agg(F.max("seed").alias("seed"))
+    # an instance that is a seed anywhere is one everywhere
+    seeds = places.filter("seed").select("instance", F.lit(True).alias("is_seed")).distinct()
+    triples = triples.drop("seed").join(seeds, "instance", "left")
+    triples = triples.select("left", "right", "instance", F.coalesce("is_seed", F.lit(False)).alias("seed"))
+    triples = written(triples, "triples")
     sides = F.explode(F.array(F.concat(F.lit("L "), F.col("left")), F.concat(F.lit("R "), F.col("right"))))
-    beside = written(places.select("row_key", "start", "end", "instance", "seed", sides.alias("pattern")), "beside")
-    beside = beside.filter(F.char_length("pattern") > 2)
-    edges = written(beside.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    good = _scored(edges).filter((F.col("seeds") >= LEAST_SEEDS) & (F.col("score") >= LEAST_PATTERN))
-    counts = edges.groupBy("pattern").agg(F.count("*").alias("times"))
-    good = written(good.select("pattern", "score").join(counts, "pattern"), "patterns")
-    rated = attach(edges, good, ["pattern"], "times", edges.count())
+    edges = triples.select(sides.alias("pattern"), "instance", "seed").filter(F.char_length("pattern") > 2)
+    edges = written(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
+    total = edges.count()
+    good = _good(edges.select("pattern", "instance", known), triples.select("left", "right", "instance", known))
+    sure = _sure(edges, good, total)
+    for _ in range(ROUNDS - 1):
+        if sure.isEmpty():
+            break  # no new seeds, so no other scores
+        more = [
+            t.join(sure, "instance", "left").withColumn("known", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("sure")))
+            for t in (edges, triples)
+        ]
+        good = _good(*more)
+        sure = _sure(edges, good, total)
+    placed = places.filter(~F.col("seed")).join(sure.select("instance"), "instance", "left_semi")
+    beside = placed.select("row_key", "start", "end", sides.alias("pattern"))
+    return beside.join(good.select("pattern"), "pattern", "left_semi").select("row_key", "start", "end").distinct()
+
+
+def _sure(edges: DataFrame, good: DataFrame, total: int) -> DataFrame:
+    """(instance, sure) of the unseen identifiers."""
+    rated = attach(edges.filter(~F.col("seed")), good, ["pattern"], "times", total)
     together = 1 - F.exp(F.sum(F.log1p(-F.coalesce(F.col("score"), F.lit(0.0)))))
-    sure = rated.groupBy("instance").agg(F.max("seed").alias("seed"), together.alias("sure"))
-    sure = sure.filter(~F.col("seed") & (F.col("sure") >= LEAST_INSTANCE)).select("instance")
-    unseen = beside.filter(~F.col("seed")).join(sure, "instance", "left_semi")
-    return unseen.join(good.select("pattern"), "pattern", "left_semi").select("row_key", "start", "end").distinct()
+    rated = rated.groupBy("instance").agg(together.alias("sure"))
+    return written(rated.filter(F.col("sure") >= LEAST_INSTANCE), "sure")
 
 
 def find(docs: DataFrame) -> DataFrame:

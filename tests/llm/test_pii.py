@@ -79,3 +79,43 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
 def test_main_path_is_native(small_docs, plan_of):
     plan = plan_of(pii.find(small_docs))
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def ids(spark, texts):
+    """The unseen identifiers found in each text."""
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    out = {}
+    for r in check(spark.createDataFrame(rows, SCHEMA), rows):
+        spans = [s.split(":") for s in r["spans"].split(",") if s.startswith("id:")]
+        out[r["doc_id"]] = [texts[r["doc_id"]][int(a) : int(b)] for _, a, b in spans]
+    return [out[i] for i in range(len(texts))]
+
+
+def words(i):
+    return f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x"
+
+
+def test_more_unseen_identifiers_than_seeds(spark):
+    seeds = [f"my handle user{i}@mail.org {words(i)} then" for i in range(30)]
+    unseen = [f"my handle user{i}(at)mail {words(300 + i)} then" for i in range(50)]
+    ordinary = [f"it costs {i}0 dollars {words(i)}" for i in range(1, 40)]
+    # by a word that many numbers stand by too, and few seeds, in places of ordinary numbers
+    mixed = [f"it is a{i}@mail.org {words(i)}" for i in range(10)] + [f"it is {i}5 dollars" for i in range(1, 60)]
+    got = ids(spark, seeds + unseen + ordinary + mixed)
+    assert got[30:80] == [[f"user{i}(at)mail"] for i in range(50)]
+    assert not any(got[:30] + got[80:])
+
+
+def test_found_identifiers_are_seeds_of_the_next_round(spark):
+    near = [f"my handle user{i}@mail.org {words(i)} then" for i in range(12)]
+    between = [f"my handle K{i}-77 badge" for i in range(6)]
+    far = [f"{words(400 + i)} Z{i}-99 badge" for i in range(4)]
+    got = ids(spark, near + between + far)
+    assert got[12:18] == [[f"K{i}-77"] for i in range(6)]
+    assert got[18:] == [[f"Z{i}-99"] for i in range(4)]
+
+
+def test_words_beside_each_other_are_contexts_too(spark):
+    seeds = [f"{words(i)} field1 user{i}@mail.org {words(50 + i)}" for i in range(12)]
+    got = ids(spark, [*seeds, "other field1 user77(at)mail thing", "\n".join(["last", "field1", " " * 80 + "user78(at)mail", "thing"])])
+    assert "user77(at)mail" in got[12] and "user78(at)mail" in got[13]
