@@ -10,7 +10,7 @@ are revisits that refer to it; smaller payloads are all responses.
 URL key and record id into compressed blocks of BLOCK_ENTRIES lines; the sparse
 block directory keeps the first key of each block only. ``lookup`` searches the
 directory by bisection, opens the blocks it points to, bisects them for the
-keys, and reads the byte ranges found from the archives. The directory is
+keys, and cuts the byte ranges found out of the archives, which are read whole. The directory is
 broadcast after its size was checked; above the bound, keys meet all blocks'
 entries by a shuffled join instead, with the same result.
 
