@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceloom.llm import bpe, exact_dedup, hnsw, jaccard_join, language_id, licenses, mixing, pii, quality, warc
+from priceloom.llm import (
+    bpe,
+    exact_dedup,
+    hnsw,
+    jaccard_join,
+    language_id,
+    licenses,
+    mixing,
+    periodic_runs,
+    pii,
+    quality,
+    warc,
+)
 from priceloom.llm.common import ship
 
 
@@ -59,6 +71,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.with_planted_periods(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_warc_index": op2_warc_index,
@@ -70,11 +86,21 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 #: Upper and lower case of ASCII letters, as translate() takes them.
 CASES = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bits = f"flatten([[(ascii({text}[i]) >> k) & 1 for k in range(8)] for i in range(1, length({text}) + 1)])"
+    step = "lambda c, b: xor(c >> 1, case when xor(c, b) & 1 = 1 then 3988292384 else 0 end)"
+    return f"xor(list_reduce([cast(b as bigint) for b in list_prepend(4294967295, {bits})], {step}), 4294967295)"
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_index": """
         with p as (
@@ -95,4 +121,45 @@ ORACLE_SQL: dict[str, str] = {
         )
         select d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id as kept, d.text_sha256
         from d join g using (text_sha256)""",
+    "op11_periodic_runs": rf"""
+        with d as (
+            select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+                {crc32_sql("cast(doc_id as varchar)")} as h from documents
+        ), sized as (
+            select *, len(w) as n, h // 10 as g from d
+        ), placed as (
+            select *, g % greatest(n, 1) as a from sized
+        ), planted as (
+            select *, 1 + (n - a) // (3 + g % 8) as p from placed
+        ), texts as (
+            select r, doc_id, n, case when h % 10 = 0 and n > 0
+                then [w[1 + case when i < a then i else a + (i - a) % p end] for i in range(n)] else w end as w from planted
+        ), numbered as (
+            select r, n, w, unnest(range(n)) as i from texts
+        ), blocks as (
+            select r, n, i, md5(array_to_string(w[i + 1 : i + 16], ' ')) as block from numbered where i + 16 <= n
+        ), pairs as (
+            select x.r, x.i, x.i - y.i as lag from blocks x join blocks y on x.r = y.r and x.block = y.block
+            and x.i > y.i and x.i - y.i <= x.n // 3
+        ), islands as (
+            select r, lag, i, i - row_number() over (partition by r, lag order by i) as island from pairs
+        ), diagonals as (
+            select r, lag, min(i) - lag as start, count(*) + 15 + lag as length from islands group by r, lag, island
+        ), runs as (
+            select r, start, length, min(lag) as period from diagonals
+            where length >= greatest(24, 3 * lag) group by r, start, length
+        ), listed as (
+            select r, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines
+            from runs group by r
+        ), best as (
+            select * from runs qualify row_number() over
+                (partition by r order by cast(length as double) / period desc, start, period) = 1
+        ), kept as (
+            select r, string_agg(w[i + 1], ' ' order by i) as text from numbered x
+            where not exists (select 1 from runs y where y.r = x.r and x.i >= y.start + y.period and x.i < y.start + y.length)
+            group by r
+        )
+        select doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli,
+            sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(text, '')) as collapsed_sha256
+        from texts left join listed using (r) left join best using (r) left join kept using (r)""",
 }
