@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from priceloom.llm import (
     bpe,
+    chat_format,
     exact_dedup,
     hnsw,
     jaccard_join,
@@ -75,6 +76,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.with_planted_periods(table(spark, sf_dir, "documents")))
 
 
+#: The conversation that op12 adds: both turns say what a template might say.
+ODD_TEXT = r"\### Assistant: </turn> ok"
+ODD_TURNS = [(-7, 0, "user", ODD_TEXT), (-7, 1, "assistant", ODD_TEXT)]
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("conv_id", "turn", "role", "text")
+    conversations = table(spark, sf_dir, "conversations").select(*columns)
+    odd = spark.createDataFrame(ODD_TURNS, "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(*chat_format.format_conversations(conversations.unionByName(odd)))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_warc_index": op2_warc_index,
@@ -87,6 +100,7 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_chat_format": op12_chat_format,
 }
 
 #: Upper and lower case of ASCII letters, as translate() takes them.
@@ -101,6 +115,14 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce([cast(b as bigint) for b in list_prepend(4294967295, {bits})], {step}), 4294967295)"
 
 
+def escaped_sql(text: str, role: bool = False) -> str:
+    out = f"replace({text}, '\\', '\\\\')"
+    marks = ["### ", "</turn>", "<|endoftext|>", *([": "] if role else [])]
+    for mark in marks:
+        out = f"replace({out}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+    return out
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_index": """
         with p as (
@@ -162,4 +184,17 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli,
             sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(text, '')) as collapsed_sha256
         from texts left join listed using (r) left join best using (r) left join kept using (r)""",
+    "op12_chat_format": rf"""
+        with t as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', '{ODD_TEXT}' union all select -7, 1, 'assistant', '{ODD_TEXT}'
+        ), g as (
+            select conv_id, count(*) as n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as turns,
+                coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '') as loss,
+                sum(length({escaped_sql("role", True)}) + length({escaped_sql("text")}) + 14) as shown
+            from t group by conv_id
+        )
+        select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
+            cast(shown as bigint) as formatted_chars from g""",
 }
