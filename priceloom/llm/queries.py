@@ -16,6 +16,7 @@ from priceloom.llm import (
     mixing,
     periodic_runs,
     pii,
+    prefix_trie,
     quality,
     warc,
 )
@@ -88,6 +89,10 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(*chat_format.format_conversations(conversations.unionByName(odd)))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_warc_index": op2_warc_index,
@@ -101,6 +106,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_chat_format": op12_chat_format,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: Upper and lower case of ASCII letters, as translate() takes them.
@@ -197,4 +203,36 @@ ORACLE_SQL: dict[str, str] = {
         )
         select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars, sha256(loss) as loss_sha256,
             cast(shown as bigint) as formatted_chars from g""",
+    "op13_prefix_trie": f"""
+        with o as (
+            select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, role, text) - 1 as place,
+                coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        ), own as (
+            select c, count(*) as n_own, {crc32_sql("cast(c as varchar)")} % 9 as h, c - c % 5 as base from o group by c
+        ), convs as (
+            select own.*, least(own.h, coalesce(b.n_own, 0)) as taken from own left join own b on own.base = b.c
+        ), turns as (
+            select convs.c, o.place + 1 as depth, role, text from convs join o on o.c = base where place < h
+            union all select convs.c, taken + place - h + 1, role, text from convs join o on o.c = convs.c where place >= h
+        ), path as (
+            select c, depth, strlen(text) as bytes, string_agg(md5(role || chr(31) || text), '') over
+                (partition by c order by depth rows between unbounded preceding and current row) as node from turns
+            union all select c, 0, 0, '' from convs
+        ), ends as (
+            select node, string_agg(c, ',' order by c) as ids
+            from (select c, node from path qualify row_number() over (partition by c order by depth desc) = 1) group by node
+        ), nodes as (
+            select node, any_value(depth) as depth, min(c) as conv_id, count(*) as n_convs, any_value(bytes) as bytes from path group by node
+        ), linked as (
+            select n.*, p.conv_id as parent_conv_id, p.node as up
+            from nodes n left join nodes p on n.depth > 0 and p.node = left(n.node, 32 * (n.depth - 1))
+        ), children as (
+            select up as node, count(*) as n_children from linked where up is not null group by up
+        ), below as (
+            select a.node, cast(count_if(u.node not in (select node from children)) as bigint) as n_leaves, sum((u.n_convs - 1) * u.bytes) as saved
+            from nodes u join path a on a.c = u.conv_id and a.depth <= u.depth group by a.node
+        )
+        select conv_id, depth, parent_conv_id, n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+            cast(saved as bigint) as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+        from linked left join children using (node) join below using (node) left join ends using (node)""",
 }
