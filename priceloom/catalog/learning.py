@@ -22,7 +22,8 @@ from priceloom.catalog.base import (
 from priceloom.operators import split
 from priceloom.plans import recipes, report, tuning
 from priceloom.plans.boosting import Booster
-from priceloom.sources.scratch import written
+from priceloom.plans.ledger import Ledger
+from priceloom.sources.scratch import scratch_path, written
 
 # The layout of the registered programs' training rows, part of their result.
 PARTITIONS = 4
@@ -216,6 +217,28 @@ def cv_scores_stumps(spark, sf_dir):
     return scores.withColumn("r2", F.round("r2", 6))
 
 
+@query(
+    _stump_ctes(_FOLD_SIDES)
+    + _STUMP_R2
+    + "select 1 as max_depth, max_iter, step_size, cast(k as int) as fold, round(score, 6) as r2, "
+    "step_size < 0.1 as reused from per"
+)
+def cv_resumed_stumps(spark, sf_dir):
+    """The same search in two runs with one ledger: the second finds the fits of
+    the smaller step, does the others, and has the scores of the whole."""
+    prepared = _stump_rows(spark, sf_dir)
+    path = scratch_path(spark, "ledger")
+    half = tuning.Grid(STUMP_GRID.max_depth, STUMP_GRID.max_iter, STUMP_GRID.step_size[:1])
+    tuning.cross_validate(prepared, half, ledger=Ledger(spark, path))
+    before = Ledger(spark, path).table().select("fold", "max_depth", "step_size").distinct()
+    before = written(before.withColumn("reused", F.lit(True)), "reused")
+    scores = tuning.cross_validate(prepared, STUMP_GRID, ledger=Ledger(spark, path))
+    prepared.release()
+    marked = scores.join(F.broadcast(before), ["fold", "max_depth", "step_size"], "left")
+    reused = F.coalesce("reused", F.lit(False)).alias("reused")
+    return marked.select("max_depth", "max_iter", "step_size", "fold", F.round("r2", 6).alias("r2"), reused)
+
+
 @query(
     _stump_ctes(f"{_FOLD_SIDES} union all select 5, split = 'test', * from keyed")
     + _STUMP_R2

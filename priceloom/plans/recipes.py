@@ -102,6 +102,10 @@ class Prepared:
         """Only what a fit reads, before rows are stored for it."""
         return df.select(*self.numeric, *self.plan.categorical, LOG_TARGET)
 
+    def fold_columns(self, df: DataFrame) -> DataFrame:
+        """The same and each row's fold: what a search reads."""
+        return df.select(*self.numeric, *self.plan.categorical, LOG_TARGET, split.FOLD)
+
     def release(self) -> None:
         """Give up the stored rows and everything written for fits on them."""
         if self.recipe.storage == "persist":
