@@ -129,10 +129,11 @@ def _profile(df: DataFrame, plan: ColumnPlan, recipe: Recipe):
 def _laid_out(df: DataFrame, partitions: int | None, key: Sequence[str]) -> DataFrame:
     """The rows in the recipe's layout. It depends on the rows and on
     ``partitions`` alone, and a partition that is computed again after a lost
-    executor comes back in the same order, as boosting needs."""
+    executor comes back in the same order, as boosting needs. Rows of one key
+    are ordered by all their values."""
     if partitions is None:
         return df
-    return df.repartition(partitions, *key).sortWithinPartitions(*key)
+    return df.repartition(partitions, *key).sortWithinPartitions(*key, F.xxhash64(*df.columns))
 
 
 def _encodings(plan: ColumnPlan, recipe: Recipe) -> tuple[tuple[str, str], ...]:
