@@ -20,7 +20,7 @@ from priceloom.catalog.base import (
     query,
 )
 from priceloom.operators import split
-from priceloom.plans import recipes, report, tuning
+from priceloom.plans import bundle, recipes, report, tuning
 from priceloom.plans.boosting import Booster
 from priceloom.plans.ledger import Ledger
 from priceloom.sources.scratch import scratch_path, written
@@ -437,6 +437,62 @@ def encoded_target_mean(spark, sf_dir):
     return _encoded(spark, sf_dir, "target_mean")
 
 
+_FOLD_MEANS = (
+    f"with {SIGNAL_CTE}, logged as (select *, ln(1 + price) as y, {SPLIT_CASE} as split, {FOLD_BUCKET} as fold from prop), "
+    "train as (select * from logged where split = 'train'), "
+    "own as (select fold, count(*) as n, sum(y) as s from train group by fold), "
+    "overall as (select own.fold, (t.s - own.s) / (t.n - own.n) as mean from own, (select sum(n) as n, sum(s) as s from own) t "
+    "union all select -1, sum(s) / sum(n) from own), "
+    + ", ".join(
+        f"{c}_sums as (select {c} as label, count(*) as n, sum(y) as s from train group by 1), "
+        f"{c}_own as (select {c} as label, fold, count(*) as n, sum(y) as s from train group by 1, 2), "
+        f"{c}_means as (select o.fold, a.label, case when a.n > coalesce(b.n, 0) then (a.s - coalesce(b.s, 0) + 10 * mean) "
+        f"/ (a.n - coalesce(b.n, 0) + 10) else mean end as code from {c}_sums a cross join overall o "
+        f"left join {c}_own b on b.label = a.label and b.fold = o.fold)"
+        for c in ("property_type", "city", "street")
+    )
+    + f" select {KEYS}, split, "
+    + ", ".join(f"round(coalesce({c}_means.code, mean), 6) as {c}" for c in ("property_type", "city", "street"))
+    + " from logged join overall o on o.fold = case when split = 'train' then logged.fold else -1 end "
+    + " ".join(f"left join {c}_means on {c}_means.fold = o.fold and {c}_means.label = logged.{c}" for c in ("property_type", "city", "street"))
+)
+
+
+@query(_FOLD_MEANS.replace("from lineitem)", ", 'street-' || (l_orderkey % 700) as street from lineitem)", 1))
+def encoded_fold_mean(spark, sf_dir):
+    """Categories as means over the other folds: every training row without its
+    own fold, every test row over all of them."""
+    columns = ("property_type", "city", "street")
+    rows = prop_signal(spark, sf_dir, "concat('street-', l_orderkey % 700) as street")
+    recipe = recipes.TUNED_RECIPE.with_(encodings=tuple((c, "fold_mean") for c in columns))
+    prepared = recipes.prepare(rows, recipe, row_key=KEY)
+    encoders = recipes.fit_encoders(prepared, prepared.train)
+    both = encoders.widen(prepared.train, training=True).unionByName(encoders.widen(prepared.test))
+    return _finish(prepared, both.select(*KEY, "split", *[F.round(f"{c}_mean", 6).alias(c) for c in columns]), "encoded")
+
+
+@query(
+    _stump_ctes(_TEST_SIDES)
+    + f"select {KEYS}, round(p1 + 0.1 * p2, 6) as prediction, round(exp(p1 + 0.1 * p2) - 1, 4) as exp_prediction, "
+    "cast(1 as bigint) as version from r2 where held"
+)
+def bundle_estimates(spark, sf_dir):
+    """The two-round program saved, loaded from its folder, and applied to the
+    listings of the test side as they come."""
+    prepared = _stump_rows(spark, sf_dir)
+    path = scratch_path(spark, "bundle")
+    version = bundle.save(recipes.fit(prepared), path)
+    prepared.release()
+    listings = split.with_split(prop_signal(spark, sf_dir), KEY).filter(F.col(split.SPLIT) == "test")
+    estimates = bundle.load(spark, path).estimate(listings.drop("price", split.SPLIT))
+    return estimates.select(
+        *KEY,
+        F.round("prediction", 6).alias("prediction"),
+        F.round("exp_prediction", 4).alias("exp_prediction"),
+        F.lit(version).cast("long").alias("version"),
+    )
+
+
 def _summary_sql() -> str:
     """The report of the stump search: its winner's scores on the test rows."""
     first = (

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from priceloom.functions import is_number
@@ -36,8 +36,10 @@ class Recipe:
 
     ``encodings`` says how string columns enter the model, as (column, encoding)
     pairs: ``nominal`` (the default for columns not named), ``rank`` (an ordered
-    number, any label count) or ``target_mean`` (smoothed mean of the log
-    target). A nominal column with more than ``max_labels`` labels raises.
+    number, any label count), ``target_mean`` (smoothed mean of the log
+    target) or ``fold_mean`` (the same, for a training row over the training rows
+    of the other folds, so that no row sees its own label). A nominal column with
+    more than ``max_labels`` labels raises.
 
     ``train_partitions`` fixes the layout of the prepared rows: so many
     partitions by hash of the row key, sorted by it. Boosting draws its row
@@ -100,7 +102,8 @@ class Prepared:
 
     def fit_columns(self, df: DataFrame) -> DataFrame:
         """Only what a fit reads, before rows are stored for it."""
-        return df.select(*self.numeric, *self.plan.categorical, LOG_TARGET)
+        folded = [split.FOLD] if self.encoded_as(encode.FOLD_MEAN) else []
+        return df.select(*self.numeric, *self.plan.categorical, LOG_TARGET, *folded)
 
     def fold_columns(self, df: DataFrame) -> DataFrame:
         """The same and each row's fold: what a search reads."""
@@ -225,16 +228,21 @@ class Encoders:
     ranks: dict[str, DataFrame]
     means: dict[str, encode.TargetMeans]
     max_arity: int
+    fold_means: dict[str, encode.FoldMeans] = field(default_factory=dict)
 
-    def widen(self, df: DataFrame, owned: list[str] | None = None) -> DataFrame:
+    def widen(self, df: DataFrame, owned: list[str] | None = None, training: bool = False) -> DataFrame:
         """Add the columns that come from tables. With ``owned`` the rows are
         written to the shared folder, as a fit reads them several times, always
-        in the same order; whoever owns the list discards them."""
-        for column, table in self.ranks.items():
-            df = encode.apply_index(df, table, column)
-        for column, means in self.means.items():
-            df = encode.apply_target_means(df, means, column, encode.output_name(column, encode.TARGET_MEAN))
-        return written(df, "widened", owned) if owned is not None and (self.ranks or self.means) else df
+        in the same order; whoever owns the list discards them. ``training``
+        says that these are rows the encoders were fitted on."""
+        lookups = [encode.index_lookup(table, c) for c, table in self.ranks.items()]
+        lookups += [encode.mean_lookup(means, c) for c, means in self.means.items()]
+        fold = split.FOLD if training else None
+        lookups += [encode.fold_mean_lookup(means, c, fold) for c, means in self.fold_means.items()]
+        if not lookups:
+            return df
+        df = encode.attach_many(df, lookups, owned=owned)
+        return written(df, "widened", owned) if owned is not None else df
 
 
 def fit_encoders(prepared: Prepared, train: DataFrame, labels: dict[str, list[str]] | None = None) -> Encoders:
@@ -248,17 +256,26 @@ def fit_encoders(prepared: Prepared, train: DataFrame, labels: dict[str, list[st
     arity = max((1 + len(stage.labels) for stage in stages), default=0)
     ranks = {c: encode.frequency_index(train, c) for c in prepared.encoded_as(encode.RANK)}
     means = {c: encode.target_means(train, c, LOG_TARGET) for c in prepared.encoded_as(encode.TARGET_MEAN)}
-    return Encoders(stages, ranks, means, arity)
+    folded = {c: encode.fold_means(train, c, LOG_TARGET, split.FOLD) for c in prepared.encoded_as(encode.FOLD_MEAN)}
+    return Encoders(stages, ranks, means, arity, folded)
 
 
 @dataclass(frozen=True)
-class Fitted:
-    """A trained program: scores any frame with the prepared columns."""
+class Program:
+    """A trained program without the rows it was trained on: what scoring
+    needs, and what ``bundle`` saves."""
 
-    prepared: Prepared
+    plan: ColumnPlan
+    recipe: Recipe
+    numeric: tuple[str, ...]
+    encodings: tuple[tuple[str, str], ...]
     encoders: Encoders
     model: PipelineModel
 
+    @property
+    def inputs(self) -> list[str]:
+        return [*self.numeric, *[encode.output_name(c, kind) for c, kind in self.encodings]]
+
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``prediction`` (log scale) and ``exp_prediction`` (price)."""
         scored = self.model.transform(self.encoders.widen(df))
@@ -267,12 +284,34 @@ class Fitted:
     def estimate(self, listings: DataFrame) -> DataFrame:
         """Score listings as they come, with or without a known price: the
         row-wise preparation is applied first, and no row counts as outlier."""
-        prepared, _ = featurize(listings, self.prepared.plan, self.prepared.recipe)
+        prepared, _ = featurize(listings, self.plan, self.recipe)
         return self.score(prepared)
 
+    def importances(self, spark: SparkSession) -> DataFrame:
+        return feature_importances(spark, self.model, self.inputs)
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """A trained program with its prepared rows."""
+
+    prepared: Prepared
+    encoders: Encoders
+    model: PipelineModel
+
+    @property
+    def program(self) -> Program:
+        p = self.prepared
+        return Program(p.plan, p.recipe, p.numeric, p.encodings, self.encoders, self.model)
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return self.program.score(df)
+
+    def estimate(self, listings: DataFrame) -> DataFrame:
+        return self.program.estimate(listings)
+
     def importances(self) -> DataFrame:
-        spark = self.prepared.frame.sparkSession
-        return feature_importances(spark, self.model, self.prepared.inputs)
+        return self.program.importances(self.prepared.frame.sparkSession)
 
     def evaluate(self, df: DataFrame) -> DataFrame:
         """All scores over ``df`` from a single scoring pass."""
@@ -286,13 +325,16 @@ def fit(prepared: Prepared, booster: Booster | None = None) -> Fitted:
     encoders = fit_encoders(prepared, prepared.train)
     trees = (booster or prepared.recipe.booster).estimator(max_arity=encoders.max_arity)
     pipeline = Pipeline(stages=[*encoders.stages, assembler(prepared.inputs), trees])
-    train = encoders.widen(prepared.fit_columns(prepared.train), prepared.owned)
+    train = encoders.widen(prepared.fit_columns(prepared.train), prepared.owned, training=True)
     return Fitted(prepared, encoders, pipeline.fit(train))
 
 
-def vectors(prepared: Prepared, encoders: Encoders, df: DataFrame, owned: list[str] | None = None) -> DataFrame:
-    """``df`` with its ``features`` vector, before any model is fitted."""
-    encoded = encode.index_categories(encoders.widen(df, owned), encoders.stages)
+def vectors(
+    prepared: Prepared, encoders: Encoders, df: DataFrame, owned: list[str] | None = None, training: bool = False
+) -> DataFrame:
+    """``df`` with its ``features`` vector, before any model is fitted.
+    ``training`` says that the encoders were fitted on these rows."""
+    encoded = encode.index_categories(encoders.widen(df, owned, training), encoders.stages)
     return assembler(prepared.inputs).transform(encoded)
 
 
@@ -305,6 +347,7 @@ __all__ = [
     "Encoders",
     "Fitted",
     "Prepared",
+    "Program",
     "Recipe",
     "featurize",
     "fit",

@@ -136,3 +136,93 @@ def test_large_lookup_shuffles_evenly(spark):
             spark.conf.set(name, value)
     assert largest < 1.2 * mean
     assert hot[0] < 1.2 * hot[1]
+
+
+@pytest.fixture
+def three(spark):
+    """Three columns with a hot label each, nulls, and labels of two in common."""
+    return spark.range(0, 9000, 1, 3).selectExpr(
+        "id",
+        "case when id % 3 = 0 then 'hot' when id % 10 = 1 then null else concat('k', id % 1700) end as k",
+        "case when id % 4 = 0 then 'hot' else concat('k', id % 2100) end as m",
+        "if(id % 2 = 0, null, concat('z', id % 900)) as z",
+        "cast(id % 11 as double) as y",
+        "cast(id * 7 % 3 as int) as fold",
+        "'mine' as value_0",
+    )
+
+
+def lookups_for(train):
+    return [
+        encode.index_lookup(encode.frequency_index(train, "k"), "k"),
+        encode.mean_lookup(encode.target_means(train, "m", "y"), "m"),
+        encode.fold_mean_lookup(encode.fold_means(train, "z", "y", "fold"), "z", "fold"),
+    ]
+
+
+def test_one_pass_lookup_agrees_with_column_by_column(three):
+    train = three.filter("id % 5 < 4")
+    one_pass = encode.attach_many(three, lookups_for(train), limit=0)
+    small = encode.attach_many(three, lookups_for(train))
+    assert one_pass.columns == small.columns == [*three.columns, "k_indexed", "m_mean", "z_mean"]
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(one_pass) == rows(small) and one_pass.count() == 9000
+    single = encode.apply_index(three, encode.frequency_index(train, "k"), "k")
+    single = encode.apply_target_means(single, encode.target_means(train, "m", "y"), "m", "m_mean")
+    assert rows(single) == rows(small.drop("z_mean"))
+
+
+def test_one_pass_lookup_has_one_exchange_of_labels(spark, three, plan_of):
+    """However many columns, labels meet the tables in one shuffle and the rows
+    themselves move once."""
+
+    def exchanges(n):
+        out = encode.attach_many(three, lookups_for(three)[:n], limit=0)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            plan = plan_of(out)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        by_label = [x for x in plan.splitlines() if "Exchange hashpartitioning(at" in x and "label" in x]
+        whole = [x for x in plan.splitlines() if "Exchange hashpartitioning(row_number" in x]
+        return len(by_label), len(whole)
+
+    assert exchanges(2) == exchanges(3)
+    labels, whole = exchanges(3)
+    assert (labels, whole) == (2, 1)  # asked labels, tables; the stored rows
+
+
+def test_hot_labels_stay_out_of_the_one_pass_shuffle(three, spark):
+    before = encode.HOT_SHARE
+    out = encode.attach_many(three, lookups_for(three), limit=0)
+    assert before == 1000 and out.filter("k = 'hot'").select("k_indexed").distinct().collect() == [(0.0,)]
+    assert out.filter("k is null and k_indexed is null").count() == 0
+
+
+@pytest.mark.parametrize("limit", [encode.BROADCAST_BYTES, 0])
+def test_fold_means_against_brute_force(three, limit):
+    train = three.filter("id % 5 < 4")
+    means = encode.fold_means(train, "k", "y", "fold", smoothing=4.0)
+    rows = train.collect()
+
+    def want(label, fold):
+        outside = [r for r in rows if r["fold"] != fold]
+        overall = sum(r["y"] for r in outside) / len(outside)
+        own = [r["y"] for r in outside if r["k"] == label and label is not None]
+        return (sum(own) + 4 * overall) / (len(own) + 4) if own else overall
+
+    for fold, part in (("fold", train), (None, three.filter("id % 5 = 4"))):
+        out = encode.attach_many(part, [encode.fold_mean_lookup(means, "k", fold)], limit)
+        for r in out.filter("id % 97 = 0 or k is null and id % 31 = 0").collect():
+            assert r["k_mean"] == pytest.approx(want(r["k"], r["fold"] if fold else None), abs=1e-9)
+
+
+def test_fold_means_of_one_fold_and_of_no_rows(spark, three):
+    means = encode.fold_means(three.withColumn("fold", F.lit(0)), "k", "y", "fold")
+    out = encode.attach_many(three.withColumn("fold", F.lit(0)), [encode.fold_mean_lookup(means, "k", "fold")])
+    assert out.filter("k_mean is not null").count() == 0  # nothing is outside
+    none = encode.fold_means(three.filter("false"), "k", "y", "fold")
+    out = encode.attach_many(three, [encode.fold_mean_lookup(none, "k", None)])
+    assert out.count() == 9000 and out.filter("k_mean is not null").count() == 0
