@@ -75,7 +75,7 @@ def cte(name: str, columns: tuple[str, ...], source: str = "lineitem") -> str:
 PROP_CTE = cte("prop", PROP)
 SIGNAL_CTE = cte("prop", PROP_SIGNAL)
 
-_HASH = f"md5(concat_ws('|', {', '.join(f'cast({c} as varchar)' for c in KEY)}))"
-SPLIT_BUCKET = f"cast(('0x' || substr({_HASH}, 1, 8)) as bigint) % 100"
-FOLD_BUCKET = f"cast(('0x' || substr({_HASH}, 9, 8)) as bigint) % 5"
+HASH = f"md5(concat_ws('|', {', '.join(f'cast({c} as varchar)' for c in KEY)}))"
+SPLIT_BUCKET = f"cast(('0x' || substr({HASH}, 1, 8)) as bigint) % 100"
+FOLD_BUCKET = f"cast(('0x' || substr({HASH}, 9, 8)) as bigint) % 5"
 SPLIT_CASE = f"case when {SPLIT_BUCKET} < 80 then 'train' else 'test' end"

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from priceloom.catalog.base import CATEGORICAL, KEY, KEYS, NUMERIC, SIGNAL_CTE, prop, prop_signal, query
-from priceloom.operators import clean, metrics
+from priceloom.catalog.base import CATEGORICAL, HASH, KEY, KEYS, NUMERIC, SIGNAL_CTE, prop, prop_signal, query
+from priceloom.operators import clean, metrics, permutation
 from priceloom.operators.ranking import top_k
 
 LINE_CTES = (
@@ -71,3 +71,45 @@ def adjusted_r2(spark, sf_dir):
 def topk_generic(spark, sf_dir):
     ranked = top_k(prop(spark, sf_dir).select(*KEY, "price"), 15, F.desc("price"), *[F.asc(c) for c in KEY])
     return ranked.select("rank", *KEY, "price")
+
+
+_DEALT = ("living_area", "bathrooms", "land_area", "property_type")
+#: Estimates of a closed form, so that every variant's loss can be stated.
+_CLOSED_FORM = (
+    "ln(20000 + 900 * coalesce(living_area, 5) + 4000 * bathrooms + 150 * coalesce(living_area, 5) * bathrooms "
+    "+ case when property_type = 'R' then 500 else 0 end)"
+)
+
+
+def _dealt_sql() -> str:
+    line = f"over (partition by block order by digest, {', '.join(f'{c} nulls first' for c in _DEALT)}, y nulls first"
+    following = ", ".join(
+        f"case when lead(1) {line}) is null then first_value({c}) {line} rows between unbounded preceding and unbounded following) "
+        f"else lead({c}) {line}) end as next_{c}"
+        for c in _DEALT
+    )
+    variants = " union all ".join(
+        f"select {i} as which, y, " + ", ".join(f"next_{c} as {c}" if i == j else c for j, c in enumerate(_DEALT)) + " from paired"
+        for i in range(-1, len(_DEALT))
+    )
+    return (
+        f"with {SIGNAL_CTE}, placed as (select {', '.join(_DEALT)}, ln(1 + price) as y, {HASH} as digest, "
+        f"cast(('0x' || substr({HASH}, 17, 8)) as bigint) % (select greatest(1, count(*) // 10000) from lineitem) as block from prop), "
+        f"paired as (select y, {', '.join(_DEALT)}, {following} from placed), variants as ({variants}), "
+        f"losses as (select which, count(*) as n, avg((y - {_CLOSED_FORM}) ** 2) as loss from variants group by which) "
+        "select cast(which as int) as feature_index, "
+        + "case which " + " ".join(f"when {i} then '{c}'" for i, c in enumerate(_DEALT)) + " end as feature, n, "
+        "round(loss, 8) as loss, round(base, 8) as base_loss, round(loss - base, 8) as importance "
+        "from losses, (select loss as base from losses where which = -1) where which >= 0"
+    )
+
+
+@query(_dealt_sql())
+def permutation_importance_rows(spark, sf_dir):
+    """What the error of a closed form grows by when a feature is dealt to other
+    rows; land_area, which the form does not use, grows it by nothing."""
+    rows = clean.with_log_target(prop_signal(spark, sf_dir), "price")
+    losses = permutation.permutation_importance(
+        rows, KEY, _DEALT, "log_price", lambda variants: variants.withColumn("prediction", F.expr(_CLOSED_FORM))
+    )
+    return losses.withColumns({c: F.round(c, 8) for c in ("loss", "base_loss", "importance")})

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from priceloom.functions import is_number
-from priceloom.operators import clean, encode, features, metrics, split
+from priceloom.operators import clean, encode, features, metrics, permutation, split
 from priceloom.operators.schema import LOG_TARGET, TARGET, ColumnPlan, plan_columns
 from priceloom.plans.boosting import BASIC, FEATURES, OPTIMIZED, Booster, assembler, feature_importances
 from priceloom.sources.scratch import discard, ensure_checkpoint_dir, written
@@ -313,6 +313,14 @@ class Fitted:
     def importances(self) -> DataFrame:
         return self.program.importances(self.prepared.frame.sparkSession)
 
+    def permutation_importances(self, df: DataFrame, block_rows: int = permutation.BLOCK_ROWS) -> DataFrame:
+        """How much the error on ``df`` grows when a column's values are dealt
+        to other rows, for every numeric and categorical column."""
+        prepared = self.prepared
+        columns = [*prepared.numeric, *prepared.plan.categorical]
+        key = list(prepared.plan.row_key) or [prepared.plan.target, *columns]
+        return permutation.permutation_importance(df, key, columns, LOG_TARGET, self.score, block_rows)
+
     def evaluate(self, df: DataFrame) -> DataFrame:
         """All scores over ``df`` from a single scoring pass."""
         count = len(self.prepared.numeric) + len(self.prepared.plan.categorical)
