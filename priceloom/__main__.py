@@ -13,7 +13,7 @@ from priceloom.plans import report
 from priceloom.plans.ledger import Ledger
 from priceloom.plans.recipes import RECIPES
 from priceloom.plans.tuning import GRID
-from priceloom.sources import read_first, write_table
+from priceloom.sources import read_first, read_quarantined, write_table
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--max-iter", type=int, help="override the recipe's number of boosting rounds")
     parser.add_argument("--storage", choices=("persist", "table"), default="persist")
     parser.add_argument("--train-partitions", type=int, help="fixed layout of the training rows")
+    parser.add_argument("--quarantine", help="folder for damaged rows of a CSV or JSON input; needs --schema")
     parser.add_argument("--ledger", help="folder on a shared store where a search writes its fits and goes on from")
     parser.add_argument("--output", help="also write the report as Parquet to this path")
     args = parser.parse_args(argv)
@@ -35,10 +36,17 @@ def main(argv: list[str] | None = None) -> None:
     recipe = RECIPES[args.recipe].with_(storage=args.storage, train_partitions=args.train_partitions)
     if args.max_iter:
         recipe = recipe.with_(booster=recipe.booster.with_(max_iter=args.max_iter))
-    table = read_first(spark, args.input, args.format, args.schema)
+    damaged = None
+    if args.quarantine:
+        if not args.schema:
+            parser.error("--quarantine needs --schema")
+        kept = read_quarantined(spark, args.input, args.schema, args.quarantine, args.format)
+        table, damaged = kept.rows, kept.n_damaged
+    else:
+        table = read_first(spark, args.input, args.format, args.schema)
     grid = GRID if recipe.name == "tuned" else None
     ledger = Ledger(spark, args.ledger) if grid and args.ledger else None
-    result = report.run(table, recipe, args.target, args.row_key, grid, ledger)
+    result = report.run(table, recipe, args.target, args.row_key, grid, ledger, damaged)
     print(report.as_text(result))
     if args.output:
         write_table(result, args.output)

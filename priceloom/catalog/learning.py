@@ -188,7 +188,7 @@ def _report_sql() -> str:
 def report_first_rounds(spark, sf_dir):
     """The whole report of the same model, its fit time aside."""
     rows = prop_signal(spark, sf_dir).select(*KEY, "price", *STUMP_FEATURES)
-    lines = report.run(rows, STUMP_RECIPE, row_key=KEY).filter("metric <> 'fit_seconds'")
+    lines = report.run(rows, STUMP_RECIPE, row_key=KEY).filter("metric <> 'fit_seconds' and section <> 'phases'")
     return lines.withColumn("value", F.round("value", 4))
 
 

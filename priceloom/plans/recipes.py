@@ -18,6 +18,7 @@ from priceloom.functions import is_number
 from priceloom.operators import clean, encode, features, metrics, permutation, split
 from priceloom.operators.schema import LOG_TARGET, TARGET, ColumnPlan, plan_columns
 from priceloom.plans.boosting import BASIC, FEATURES, OPTIMIZED, Booster, assembler, feature_importances
+from priceloom.plans.phases import Watch, unwatched
 from priceloom.sources.scratch import discard, ensure_checkpoint_dir, written
 
 # Columns the program adds under fixed names; an input may not bring its own.
@@ -327,14 +328,16 @@ class Fitted:
         return metrics.all_metrics(self.score(df), self.prepared.plan.target, count)
 
 
-def fit(prepared: Prepared, booster: Booster | None = None) -> Fitted:
+def fit(prepared: Prepared, booster: Booster | None = None, watch: Watch = unwatched) -> Fitted:
     """Fit encoders, assembler and boosted trees on the training rows."""
     ensure_checkpoint_dir(prepared.frame.sparkSession)
-    encoders = fit_encoders(prepared, prepared.train)
+    with watch("encode"):
+        encoders = fit_encoders(prepared, prepared.train)
+        train = encoders.widen(prepared.fit_columns(prepared.train), prepared.owned, training=True)
     trees = (booster or prepared.recipe.booster).estimator(max_arity=encoders.max_arity)
     pipeline = Pipeline(stages=[*encoders.stages, assembler(prepared.inputs), trees])
-    train = encoders.widen(prepared.fit_columns(prepared.train), prepared.owned, training=True)
-    return Fitted(prepared, encoders, pipeline.fit(train))
+    with watch("fit"):
+        return Fitted(prepared, encoders, pipeline.fit(train))
 
 
 def vectors(

@@ -1,9 +1,11 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml import Pipeline
 
 from priceloom import sources
+from priceloom.sources import shapes as shapes_module
 
 
 @pytest.fixture
@@ -103,3 +105,64 @@ def test_written_keeps_rows_and_schema(spark):
     stored = sources.written(df, "rows")
     assert stored.schema.simpleString() == df.schema.simpleString()
     assert sorted(r["id"] for r in stored.collect()) == list(range(10))
+
+
+CSV_SCHEMA = "price double, rooms int, kind string"
+
+
+def test_damaged_csv_rows_are_put_aside(spark, tmp_path):
+    path = tmp_path / "data.csv"
+    path.write_text("price,rooms,kind\n10.5,2,flat\nten,2,flat\n20.0,,house\n1,2\n1,2,a,b\n,,\n3.0,x,\"q,r\"\n")
+    found = sources.read_quarantined(spark, str(path), CSV_SCHEMA, str(tmp_path / "side"))
+    assert sorted(map(tuple, found.rows.collect()), key=repr) == [(10.5, 2, "flat"), (20.0, None, "house"), (None, None, None)]
+    damaged = ["1,2", "1,2,a,b", '3.0,x,"q,r"', "ten,2,flat"]
+    assert sorted(r["record"] for r in found.damaged.collect()) == damaged and found.n_damaged == 4
+    assert all(r["file"].endswith("data.csv") for r in found.damaged.collect())
+    # the same rows whatever a query asks for
+    assert found.rows.count() == 3 and found.rows.select("kind").count() == 3
+    assert found.rows.agg(F.sum("price")).first()[0] == 30.5
+    with pytest.raises(AnalysisException):  # a side table is not written over
+        sources.read_quarantined(spark, str(path), CSV_SCHEMA, str(tmp_path / "side"))
+
+
+def test_damaged_json_rows_and_clean_or_empty_sources(spark, tmp_path):
+    path = tmp_path / "data.json"
+    path.write_text('{"price": 1.5, "rooms": 2, "kind": "a"}\n{"price": \n{"price": "x", "rooms": 1}\n{}\n')
+    schema = f"{CSV_SCHEMA}, damaged_record string"
+    found = sources.read_quarantined(spark, str(path), schema, str(tmp_path / "side"), "json")
+    assert found.rows.columns == ["price", "rooms", "kind", "damaged_record"]
+    assert found.rows.count() == 2 and found.n_damaged == 2
+    (tmp_path / "empty.csv").write_text("price,rooms,kind\n")
+    none = sources.read_quarantined(spark, str(tmp_path / "empty.csv"), CSV_SCHEMA, str(tmp_path / "side2"))
+    assert none.n_damaged == none.rows.count() == 0
+    with pytest.raises(ValueError, match="parquet"):
+        sources.read_quarantined(spark, "x", CSV_SCHEMA, "y", "parquet")
+
+
+def test_shapes_of_json_are_merged(spark, tmp_path):
+    shapes = {
+        "a": '{"id": 1, "at": {"x": 1, "tags": ["p"]}, "n": 3, "v": 7, "only_null": null, "w": {"z": 1}}\n',
+        "b": '{"id": 2, "at": {"y": {"deep": true}, "x": 2.5, "tags": ["q", "r"]}, "n": 4.5, "v": {"k": [1, 2]}, "w": 5}\n',
+        "c": '{"id": 3, "v": "text", "more": 9007199254740993}\n',
+    }
+    for name, text in shapes.items():
+        (tmp_path / name).write_text(text)
+    paths = [str(tmp_path / n) for n in shapes]
+    df = sources.read_shapes(spark, paths)
+    assert df.schema.simpleString() == (
+        "struct<at:struct<tags:array<string>,x:double,y:struct<deep:boolean>>,id:bigint,n:double,"
+        "only_null:string,v:string,w:string,more:bigint>"
+    )
+    rows = {r["id"]: r for r in sources.flat(df).collect()}
+    assert sources.flat(df).columns == ["at_tags", "at_x", "at_y_deep", "id", "n", "only_null", "v", "w", "more"]
+    assert tuple(rows[1]) == ('["p"]', 1.0, None, 1, 3.0, None, "7", '{"z": 1}', None)
+    assert tuple(rows[2]) == ('["q","r"]', 2.5, True, 2, 4.5, None, '{"k": [1, 2]}', "5", None)
+    assert (rows[3]["v"], rows[3]["more"]) == ("text", 9007199254740993)
+    assert shapes_module.conflicts(shapes_module.json_schemas(spark, paths)) == {
+        "at.x": ["bigint", "double"],
+        "n": ["bigint", "double"],
+        "v": ["bigint", "struct", "string"],
+        "w": ["struct", "bigint"],
+    }
+    with pytest.raises(ValueError, match="a_b"):
+        sources.flat(spark.sql("select 1 as a_b, named_struct('b', 2) as a"))
