@@ -31,6 +31,7 @@ def test_sections(tuned_report):
         "advanced",
         "stability",
         "summary",
+        "phases",
     ]
 
 
