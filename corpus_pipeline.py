@@ -4,8 +4,8 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each result to the shared folder and reads it back for the next stage. All but
 the last return the columns of ``documents``.
 
-- ``language_id`` drops texts without a letter and texts whose language the
-  network cannot tell (probability under 0.35).
+- ``language_id`` drops texts without a letter and texts of whose parts the
+  network cannot tell the language better than chance.
 - ``exact_dedup`` leaves one of the texts equal after lower-casing A-Z.
 - ``jaccard_dedup`` leaves one of each component of texts that share four fifths
   of their five-word shingles.
@@ -26,7 +26,7 @@ from priceloom.llm.common import ship, written
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return language_id.keep_known(docs, least_score=0.35)
+    return language_id.keep_known(docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

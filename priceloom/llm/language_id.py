@@ -8,14 +8,20 @@ windows of labelled texts. Every text is cut into windows that overlap by the
 widest filter less one, so each n-gram of the whole text is seen, and window
 probabilities are averaged by their bytes.
 
-Training takes at most about ``per_language`` texts of each language, chosen by
-a hash of the text, and WINDOWS_PER_TEXT windows of each; both are parameters.
-Only text and language of learnable rows are used.
+Training takes at most about ``per_language`` texts of each language, and
+MOST_TEXTS in all, chosen by a hash of the text, and WINDOWS_PER_TEXT windows of
+each. Any number of tags is taken; of more than MOST_LANGUAGES the most frequent
+are learned, so that the network and its sample have a bound. Only text and
+language of learnable rows are used.
+
+A text is rejected if the network cannot tell the language of its parts: what
+counts is the mean over its windows of the best probability, by how far it is
+above chance. A text in several languages, each of which is told, stays.
 
 Defined results: null text and text without a letter give ``und`` with score 0;
-without any learnable row every text gives ``und``; repeated rows are predicted
-each; a null id is neither held out nor learned from; extra columns are not
-read."""
+without any learnable row every text gives ``und``, and none with a letter is
+rejected; repeated rows are predicted each; a null id is neither held out nor
+learned from; extra columns are not read."""
 
 from __future__ import annotations
 
@@ -33,7 +39,11 @@ from priceloom.llm.text import LOWER, joined_bytes, slices
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 STRIDE = WINDOW - max(WIDTHS) + 1
-PER_LANGUAGE, WINDOWS_PER_TEXT, MOST_LANGUAGES = 1200, 2, 400
+PER_LANGUAGE, WINDOWS_PER_TEXT, MOST_LANGUAGES, MOST_TEXTS = 1200, 2, 2000, 100_000
+#: Least distance from chance to certainty that a text's parts have to cover.
+MARGIN = 0.15
+#: Probabilities held at once.
+HELD = 4_000_000
 EPOCHS, LEAST_STEPS, BATCH, RATE = 4, 250, 64, 0.01
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -131,15 +141,16 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     """Trains on a bounded sample; None if nothing can be learned from."""
     rows = docs.select(F.col("doc_id"), text_of().alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(learnable() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).drop("doc_id")
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    most = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = {r.lang: r["count"] for r in most.collect()}
     if not counts:
         return None
     languages = sorted(counts)
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, per_language / counts[lang]))])
+    texts = min(per_language, max(1, MOST_TEXTS // len(languages)))
+    shares = [(lang, min(1.0, texts / counts[lang])) for lang in languages]
+    share = docs.sparkSession.createDataFrame(shares, "lang string, share double")
     draw = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_003)) / 1_000_003
-    sampled = rows.filter(draw < share[F.col("lang")])
+    sampled = rows.join(F.broadcast(share), "lang").filter(draw < F.col("share"))
     texts = [
         F.substring("text", (1 + F.pmod(F.xxhash64("text", F.lit(k)), F.char_length("text"))).cast("int"), F.lit(WINDOW))
         if k
@@ -157,32 +168,50 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     return train(windows[kept], labels[owner[kept]], languages)
 
 
-def predict(docs: DataFrame, net: Network | None, language: str = "lang_pred", score: str = "lang_score") -> DataFrame:
-    """Adds the predicted language and its probability to all columns."""
+def _judged(model: Network, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text the best language, its probability, and the mean of its
+    windows' best ones, windows weighing by their bytes."""
+    data, offsets = joined_bytes(column)
+    windows, owner, left = cut_windows(LOWER[data], offsets)
+    total, sure = np.zeros((len(column), len(model.languages))), np.zeros(len(column))
+    step = max(1, HELD // len(model.languages))
+    for at in range(0, len(windows), step):
+        found = model.probabilities(windows[at : at + step]) * left[at : at + step, None]
+        np.add.at(total, owner[at : at + step], found)
+        np.add.at(sure, owner[at : at + step], found.max(axis=1))
+    weight = np.maximum(total.sum(axis=1), 1e-300)
+    return total.argmax(axis=1), total.max(axis=1) / weight, sure / weight
+
+
+def predict(
+    docs: DataFrame, net: Network | None, language: str = "lang_pred", score: str = "lang_score", sure: str | None = None
+) -> DataFrame:
+    """Adds the predicted language and its probability to all columns, and as
+    ``sure`` how well the text's parts are told, if it is named."""
     held = docs.sparkSession.sparkContext.broadcast(net)
     text = free_name(docs, "whole_text")
-    names = [c for c in docs.columns if c not in (language, score)]
+    added = [language, score, *([sure] if sure else [])]
+    names = [c for c in docs.columns if c not in added]
     schema = docs.select(*names).schema.add(language, "string").add(score, "double")
+    if sure:
+        schema = schema.add(sure, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
-        for part in slices(batches, text):
-            column = part.column(text)
-            letters = [bool(t) and LETTER.search(t) is not None for t in column.to_pylist()]
-            if model is None:
-                found, scores = [UNKNOWN] * part.num_rows, [0.0] * part.num_rows
-            else:
-                data, offsets = joined_bytes(column)
-                windows, owner, left = cut_windows(LOWER[data], offsets)
-                weighted = model.probabilities(windows) * left[:, None]
-                total = np.zeros((part.num_rows, len(model.languages)))
-                np.add.at(total, owner, weighted)
-                total /= np.maximum(total.sum(axis=1, keepdims=True), 1e-300)
-                best = total.argmax(axis=1)
-                found = [model.languages[i] if ok else UNKNOWN for i, ok in zip(best.tolist(), letters)]
-                scores = [min(s, 1.0) if ok else 0.0 for s, ok in zip(total.max(axis=1).tolist(), letters)]
-            arrays = [part.column(n) for n in names] + [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, [*names, language, score])
+        rows = HELD if model is None else max(1, HELD // len(model.languages))
+        for slice_ in slices(batches, text):
+            for at in range(0, slice_.num_rows, rows):
+                part = slice_.slice(at, rows)
+                column = part.column(text)
+                letters = [bool(t) and LETTER.search(t) is not None for t in column.to_pylist()]
+                found, scores, told = [UNKNOWN] * part.num_rows, [0.0] * part.num_rows, [0.0] * part.num_rows
+                if model is not None:
+                    best, *shares = [x.tolist() for x in _judged(model, column)]
+                    found = [model.languages[i] if ok else UNKNOWN for i, ok in zip(best, letters)]
+                    scores, told = ([min(s, 1.0) if ok else 0.0 for s, ok in zip(x, letters)] for x in shares)
+                arrays = [part.column(n) for n in names] + [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+                arrays += [pa.array(told, pa.float64())] if sure else []
+                yield pa.RecordBatch.from_arrays(arrays, [*names, *added])
 
     return docs.select(*names, text_of().alias(text)).mapInArrow(run, schema)
 
@@ -194,8 +223,15 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     return predict(rows, net, score="score").select("doc_id", "held_out", "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, least_score: float = 0.4) -> DataFrame:
-    """The rows whose language is known with at least this probability."""
-    language, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
-    found = predict(docs, fit(docs), language, score)
-    return found.filter((F.col(language) != UNKNOWN) & (F.col(score) >= least_score)).drop(language, score)
+def keep_known(docs: DataFrame, margin: float = MARGIN, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """The rows whose parts are in known languages: how well they are told is at
+    least ``margin`` of the way from chance to certainty. If nothing was learned,
+    the rows with a letter."""
+    net = fit(docs, per_language)
+    if net is None:
+        return docs.filter(text_of().rlike(r"\p{L}"))
+    language, score, sure = (free_name(docs, n) for n in ("lang_pred", "lang_score", "lang_sure"))
+    found = predict(docs, net, language, score, sure)
+    chance = 1 / len(net.languages)
+    least = chance + margin * (1 - chance)
+    return found.filter((F.col(language) != UNKNOWN) & (F.col(sure) >= least - 1e-9)).drop(language, score, sure)

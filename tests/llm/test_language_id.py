@@ -66,3 +66,43 @@ def test_nothing_to_learn_from(nothing, messy):
     assert language_id.identify(nothing).count() == 0
     unlabelled = messy.selectExpr("doc_id", "text", "cast(null as string) as lang")
     assert {r["lang_pred"] for r in language_id.identify(unlabelled).collect()} == {"und"}
+
+
+def test_many_tags_are_all_learned_from(spark):
+    """450 tags, each with a word of its own, and a bound on those learned."""
+    word = lambda i: "".join(chr(97 + (i // 26**k) % 26) for k in range(3))
+    rows = [(10 * i + k, f"{word(i)} {word(i)}ed {word(i)} " * 3, f"x-{i:03}") for i in range(450) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language_id.fit(docs, per_language=2)
+    assert len(net.languages) > 400
+    found = language_id.predict(docs, net)
+    assert found.count() == 900 and set(r[0] for r in found.select("lang_pred").distinct().collect()) <= set(net.languages)
+    right = found.filter("lang = lang_pred").count() / found.filter("lang is not null").count()
+    assert right > 0.3  # 0.002 by chance
+    kept = language_id.keep_known(docs, per_language=2)
+    assert kept.count() > 800
+
+
+def test_only_the_most_frequent_tags_above_the_bound(spark, monkeypatch, docs):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
+    counts = docs.filter(language_id.learnable() & docs["lang"].isNotNull()).groupBy("lang").count().collect()
+    most = sorted(r["lang"] for r in sorted(counts, key=lambda r: (-r["count"], r["lang"]))[:2])
+    assert language_id.fit(docs, per_language=20).languages == most
+
+
+def test_texts_in_several_languages_stay(spark, docs):
+    """A text of passages in all four languages is clean, if none is most of it."""
+    rows = docs.filter("lang is not null and n_chars > 400").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["lang"], []).append(r["text"][:400])
+    mixed = [(10_000 + i, "\n".join(by[lang][i] for lang in sorted(by)), None, None, None) for i in range(5)]
+    both = docs.unionByName(spark.createDataFrame(mixed, docs.schema))
+    kept = {r["doc_id"] for r in language_id.keep_known(both).collect()}
+    assert {m[0] for m in mixed} <= kept and len(kept) > 0.98 * docs.count()
+
+
+def test_without_labels_texts_with_letters_stay(messy, messy_rows):
+    unlabelled = messy.selectExpr("doc_id", "text", "cast(null as string) as lang", "source", "n_chars")
+    kept = language_id.keep_known(unlabelled)
+    assert kept.count() == sum(any(c.isalpha() for c in r[1] or "") for r in messy_rows)
