@@ -21,6 +21,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -329,6 +330,23 @@ def _digest(decoded: bytes) -> str:
     return hashlib.sha256(decoded.decode("utf-8", "replace").encode()).hexdigest()
 
 
+def _flat(coded: list[list[tuple]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in one array, and where each text starts."""
+    ends = np.cumsum([0] + [sum([len(p[0]) for p in text]) for text in coded])
+    ids = chain.from_iterable(chain.from_iterable([p[0] for p in text] for text in coded))
+    return np.fromiter(ids, np.int64, int(ends[-1])), ends
+
+
+def decoded_texts(table: tuple[np.ndarray, np.ndarray], ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The bytes that the ids of each text stand for."""
+    starts, data = table
+    sizes = starts[ids + 1] - starts[ids]
+    stops = np.concatenate([[0], np.cumsum(sizes)])
+    whole = data[np.arange(int(stops[-1])) + np.repeat(starts[ids] - stops[:-1], sizes)].tobytes()
+    cuts = stops[ends].tolist()
+    return [whole[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 def encode(docs: DataFrame, path: str | None = None, text_column: str = "text") -> DataFrame:
     """Adds to all columns of docs ``ids`` (array of int) and ``decoded_sha256``,
     the digest of the text that these ids decode to."""
@@ -339,12 +357,12 @@ def encode(docs: DataFrame, path: str | None = None, text_column: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, SMALL_MEMO)
+        table = bpe.byte_table()
         for part in slices(batches, text_column):
             coded = bpe.encode_batch([t or "" for t in part.column(text_column).to_pylist()])
-            ends = np.cumsum([0] + [sum([len(p[0]) for p in text]) for text in coded])
-            flat = np.fromiter((i for text in coded for piece in text for i in piece[0]), np.int32, int(ends[-1]))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            digests = [_digest(b"".join([p[2] for p in text])) for text in coded]
+            flat, ends = _flat(coded)
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
+            digests = [_digest(text) for text in decoded_texts(table, flat, ends)]
             arrays = [part.column(f.name) for f in fields] + [ids, pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, [*(f.name for f in fields), *added])
 
@@ -377,19 +395,18 @@ def decode(coded: DataFrame, path: str | None = None) -> DataFrame:
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row: encodes,
-    decodes the ids again and hashes both, without moving the ids."""
+    looks up the bytes of the ids again and hashes both, without moving the ids."""
     path = path or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
+        table = bpe.byte_table()
         for part in slices(batches, "text"):
             coded = bpe.encode_batch([t or "" for t in part.column("text").to_pylist()])
-            counts, listed, decoded = [], [], []
-            for text in coded:
-                counts.append(sum([len(p[0]) for p in text]))
-                listed.append(hashlib.sha256(",".join([p[1] for p in text]).encode()).hexdigest())
-                decoded.append(_digest(b"".join([p[2] for p in text])))
-            arrays = [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(listed), pa.array(decoded)]
+            flat, ends = _flat(coded)
+            listed = [hashlib.sha256(",".join([p[1] for p in text]).encode()).hexdigest() for text in coded]
+            decoded = [_digest(text) for text in decoded_texts(table, flat, ends)]
+            arrays = [part.column("doc_id"), pa.array(np.diff(ends), pa.int64()), pa.array(listed), pa.array(decoded)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))

@@ -66,3 +66,15 @@ def test_round_trip_of_tables(clashing, nothing):
     rows = bpe.decode(bpe.encode(clashing)).select("text", "decoded", "ids").collect()
     assert all((r["text"] or "") == r["decoded"] for r in rows) and any(r["ids"] for r in rows)
     assert bpe.decode(bpe.encode(nothing)).count() == 0
+
+
+def test_digests_are_of_the_ids(spark, monkeypatch):
+    """A fault in the ids shows in the digest of the decoded text."""
+    codec = bpe.Bpe(bpe.default_vocabulary())
+    coded = codec.encode_batch(["Hello größe 🙂 x", "", "a b"])
+    flat, ends = bpe._flat(coded)
+    table = codec.byte_table()
+    assert [t.decode() for t in bpe.decoded_texts(table, flat, ends)] == ["Hello größe 🙂 x", "", "a b"]
+    flat[-1] += 1
+    good, empty, bad = bpe.decoded_texts(table, flat, ends)
+    assert good.decode() == "Hello größe 🙂 x" and empty == b"" and bad != b"a b"
