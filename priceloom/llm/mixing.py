@@ -39,6 +39,8 @@ from priceloom.llm.text import SPACE, joined_bytes, runs, slices
 
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
 BLOCK_WORDS, SHARD_SLOTS, PIECES, SEED = 64, 4096, 1024, 20
+#: Slots that a task fills, and that it returns at once.
+TASK_SLOTS, BATCH_SLOTS = 1 << 20, 1 << 15
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -112,6 +114,7 @@ def _draws(seed: int, shards: int):
 
 def _slots(seed: int):
     def expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made, size = [], 0
         for frame in frames:
             for row in frame.itertuples():
                 slot = row.first_slot + np.arange(row.count_)
@@ -120,7 +123,13 @@ def _slots(seed: int):
                 for p in np.unique(passes):
                     here = passes == p
                     block[here] = _permuted(index[here], row.blocks, hash((seed, int(row.source_number), int(p))))
-                yield pd.DataFrame({"source_number": row.source_number, "shard": row.shard, "slot": slot, "pass": passes, "block": block})
+                made.append(pd.DataFrame({"source_number": row.source_number, "shard": row.shard, "slot": slot, "pass": passes, "block": block}))
+                size += len(slot)
+                if size >= BATCH_SLOTS:
+                    yield pd.concat(made)
+                    made, size = [], 0
+        if made:
+            yield pd.concat(made)
 
     return expand
 
@@ -158,7 +167,8 @@ def plan(
     drawn = counts.mapInPandas(
         _draws(seed, shards), "source_number long, blocks long, shard long, first_slot long, count long"
     )
-    drawn = drawn.withColumnRenamed("count", "count_").repartition("source_number", "shard")
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-total // TASK_SLOTS))
+    drawn = drawn.withColumnRenamed("count", "count_").repartition(tasks, "source_number", "shard")
     filled = drawn.mapInPandas(_slots(seed), "source_number long, shard long, slot long, pass long, block long")
     return placed, written(filled, "slots")
 
