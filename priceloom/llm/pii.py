@@ -4,21 +4,33 @@ Four expressions give the base spans: email, ip, card and phone, leftmost and
 non-overlapping in each kind, with offsets in code points. They are the seeds.
 
 Every word with a digit or an at sign is an instance; the words left and right of
-it, instances among them, are its lexical patterns. Spark scores the graph of
-patterns and instances in ROUNDS rounds. An instance is as good as its patterns
-together, 1 - product(1 - score), and a seed scores 1. An instance outside the
-base spans that reaches LEAST_INSTANCE is an unseen identifier, and from then on
-it counts as a seed with that score. A pattern has found the sum of the scores of
-its distinct seeds; its score is found / (found + against + log10(1 + unknown)),
-the logarithm counting as 1 at least.
-Instances that are not seeds are unknown and do not speak against a pattern,
-whatever their number, except for its logarithm. What speaks against it are those
-that stand between it and a word known to go with other things: one that stands by
-no seed of this pattern, and elsewhere by LEAST_SEEDS instances, and SURER times
-the pattern's seeds, or more, of which less than SEEDLESS are seeds. Patterns of at least LEAST_SEEDS distinct seeds and
+it, instances among them, are its lexical patterns. Where the word to the left is
+made of marks only, the one before it belongs to the pattern (``token =``); marks
+to the right make none. Besides the base spans, words that look like a generated
+key (SECRET: 24 or more letters and digits, at least four of these, or a UUID) are
+seeds, but they become spans only beside a pattern that counts, as others do.
+
+Spark scores the graph of patterns and instances in ROUNDS rounds. An instance is
+as good as its patterns together, 1 - product(1 - score), and a seed scores 1. An
+instance outside the base spans that reaches LEAST_INSTANCE is an unseen
+identifier, and from then on it counts as a seed with that score. A pattern has
+found the sum of the scores of its distinct seeds; its score is found / (found +
+against + log10(1 + unknown)), the logarithm counting as 1 at least, times the
+share of seeds among all its places in the corpus that are not beside an unknown
+instance. So a pattern that goes with ordinary words, as "of" does, scores near
+nothing however many seeds happen to stand beside it. Instances that are not seeds
+are unknown and do not speak against a pattern, whatever their number, except for
+the logarithm, and those that stand between it and a word known to go with other
+things: one that stands by no seed of this pattern, and elsewhere by LEAST_SEEDS
+instances, and SURER times the pattern's seeds, or more, of which less than
+SEEDLESS are seeds. Patterns of at least LEAST_SEEDS distinct seeds and
 LEAST_PATTERN score count. Each place of an unseen identifier beside such a
 pattern is a span of the kind ``id``.
 
+Offsets, and which places a base span overlaps, are running results by doubling, so
+a text of n matches takes n log n steps.
+Joins by pattern, instance and row go through ``attach``, which splits hot keys.
+
 The expressions match what their plain forms do, in linear time: a run of
 characters is tried once, from its start or the end of the match before, and
 runs are not given back.
@@ -45,8 +57,14 @@ PATTERNS = {
 #: What a text must hold for an expression to match at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 INSTANCE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+MARKS = r"^[^\p{L}\p{N}]++$"
+#: Marks around an instance that do not belong to it.
+LEADING, TRAILING = r"^[^\p{L}\p{N}@+_]++", r"(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$"
+#: A word, and a word of marks only after it.
+MARKED = r"(?<!\S)\S++\s++[^\p{L}\p{N}\s]++(?!\S)"
+SECRET = r"^(?:(?=(?:[^0-9]*+[0-9]){4})(?=.*[a-z])[a-z0-9]{24,}|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})$"
 ROUNDS, LEAST_SEEDS, LEAST_PATTERN, LEAST_INSTANCE = 3, 3, 0.6, 0.8
-SEEDLESS, SURER, CONTEXT_CHARACTERS = 0.05, 2, 60
+SEEDLESS, SURER = 0.05, 2
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -64,37 +82,29 @@ def _blank(text: Column) -> Column:
     return F.translate(text, "\n\t\r\f\x0b", "     ")
 
 
-def _places(name: str) -> Column:
-    """Matches as (start, value, before, after): the texts between the matches
-    give the offsets. Where only blanks are between two matches, each is what
-    stands beside the other."""
-    between, values = F.col(f"{name}_between"), F.col(f"{name}_values")
-    empty = F.array().cast("array<struct<start:int,value:string,before:string,after:string>>")
-
-    def step(held: Column, at: Column) -> Column:
-        before, value = F.get(held["between"], at), F.get(held["values"], at)
-        start = held["at"] + F.char_length(before)
-        left, right = F.rtrim(_blank(before)), F.ltrim(_blank(F.get(held["between"], at + 1)))
-        place = F.struct(
-            start.alias("start"),
-            value.alias("value"),
-            F.when((left == "") & (at > 0), F.get(held["values"], at - 1))
-            .otherwise(F.right(left, F.lit(CONTEXT_CHARACTERS)))
-            .alias("before"),
-            F.when(right == "", F.coalesce(F.get(held["values"], at + 1), F.lit("")))
-            .otherwise(F.left(right, F.lit(CONTEXT_CHARACTERS)))
-            .alias("after"),
-        )
-        return F.struct(
-            held["between"].alias("between"),
-            held["values"].alias("values"),
-            (start + F.char_length(value)).alias("at"),
-            F.array_append(held["out"], place).alias("out"),
-        )
+def _scanned(values: Column, both) -> Column:
+    """Running results of ``both`` over an array, by doubling: ``both`` gets a
+    value and the one a step before it, or null."""
+    steps = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.size(values))).cast("int")), lambda k: F.pow(F.lit(2), k).cast("int"))
+    return F.aggregate(steps, values, lambda held, step: F.transform(held, lambda x, i: both(x, F.get(held, i - step))))
 
-    begin = F.struct(between.alias("between"), values.alias("values"), F.lit(0).alias("at"), empty.alias("out"))
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(values) - 1), begin, step, lambda held: held["out"])
-    return F.when(F.size(values) > 0, walked).otherwise(empty)
+
+def _places(name: str, beside: bool = False) -> Column:
+    """Matches as (start, value): the texts between the matches give the offsets.
+    With ``beside``, also the texts around each match, and the matches around it."""
+    between, values = F.col(f"{name}_between"), F.col(f"{name}_values")
+    n = F.size(values)
+    first = F.slice(between, F.lit(1), n)
+    kind, more = "start:int,value:string", []
+    if beside:
+        kind += ",before:string,after:string,previous:string,next:string"
+        earlier = F.concat(F.array(F.lit("")), F.slice(values, F.lit(1), n - 1))
+        more = [first, F.slice(between, F.lit(2), n), earlier, F.concat(F.slice(values, F.lit(2), n), F.array(F.lit("")))]
+    kind = f"array<struct<{kind}>>"
+    lengths = F.zip_with(first, values, lambda b, v: F.char_length(b) + F.char_length(v))
+    ends = _scanned(lengths, lambda x, earlier: x + F.coalesce(earlier, F.lit(0)))
+    starts = F.zip_with(ends, values, lambda end, v: end - F.char_length(v))
+    return F.when(n > 0, F.arrays_zip(starts, values, *more).cast(kind)).otherwise(F.array().cast(kind))
 
 
 def _luhn(digits: Column) -> Column:
@@ -152,25 +162,72 @@ def listed(spans: Column) -> Column:
     )
 
 
+def _left(p: Column) -> Column:
+    """The word before a place, and the one before that where it is of marks only."""
+    before = F.rtrim(_blank(p["before"]))
+    word = F.substring_index(before, " ", -1)
+    rest = F.rtrim(F.left(before, F.char_length(before) - F.char_length(word)))
+    ahead = F.when(rest == "", p["previous"]).otherwise(F.substring_index(rest, " ", -1))
+    whole = F.when(F.rlike(word, F.lit(MARKS)), F.ltrim(F.concat(ahead, F.lit(" "), word))).otherwise(word)
+    return F.lower(F.when(before == "", p["previous"]).otherwise(whole))
+
+
+def _right(p: Column) -> Column:
+    after = F.ltrim(_blank(p["after"]))
+    word = F.when(after == "", p["next"]).otherwise(F.substring_index(after, " ", 1))
+    return F.when(F.rlike(word, F.lit(MARKS)), F.lit("")).otherwise(F.lower(word))
+
+
 def _instances() -> Column:
     """Words with a digit or at sign, without marks around them, and the words
     beside them."""
     def place(p: Column) -> Column:
-        lead = F.char_length(p["value"]) - F.char_length(F.regexp_replace(p["value"], r"^[\"'(\[<]++", ""))
-        bare = F.regexp_replace(F.regexp_replace(p["value"], r"^[\"'(\[<]++", ""), r"[\"')\]>.,;:!?]++$", "")
+        open_ = F.regexp_replace(p["value"], LEADING, "")
+        lead = F.char_length(p["value"]) - F.char_length(open_)
+        bare = F.regexp_replace(open_, TRAILING, "")
         return F.struct(
             (p["start"] + lead).alias("start"),
             (p["start"] + lead + F.char_length(bare)).alias("end"),
             F.lower(bare).alias("instance"),
-            F.lower(F.substring_index(_blank(p["before"]), " ", -1)).alias("left"),
-            F.lower(F.substring_index(_blank(p["after"]), " ", 1)).alias("right"),
+            _left(p).alias("left"),
+            _right(p).alias("right"),
         )
 
-    found = F.transform(_places("word"), place)
+    found = F.transform(_places("word", beside=True), place)
     kind = "array<struct<start:int,end:int,instance:string,left:string,right:string>>"
     return F.when(F.size("word_values") > 0, found).otherwise(F.array().cast(kind))
 
 
+def _seeded() -> Column:
+    """The places with ``seed``, whether a base span overlaps them. In the order
+    of the starts of spans and the ends of places, a place is overlapped if a span
+    before it ends after its start."""
+    kind = "array<struct<at:int,last:int,start:int,end:int,instance:string,left:string,right:string>>"
+    spans = F.transform("base", lambda s: F.struct(s["start"], s["end"], *[F.lit(None)] * 5)).cast(kind)
+    places = F.transform("places", lambda p: F.struct(p["end"], F.lit(0), p["start"], p["end"], p["instance"], p["left"], p["right"]))
+    events = F.array_sort(F.concat(places.cast(kind), spans))
+    reach = _scanned(F.transform(events, lambda e: e["last"]), lambda x, earlier: F.greatest(x, earlier))
+    fields = ["start", "end", "instance", "left", "right"]
+    one = lambda e, seed: F.struct(*[e[f].alias(f) for f in fields], seed.alias("seed"))
+    marked = F.filter(F.zip_with(events, reach, lambda e, r: one(e, r > e["start"])), lambda e: e["start"].isNotNull())
+    return F.when(F.size("base") == 0, F.transform("places", lambda p: one(p, F.lit(False)))).otherwise(marked)
+
+
+def _terms(rows: DataFrame) -> DataFrame:
+    """(term, total) of every word, and every word with marks after it, in rows
+    (text)."""
+    pairs = F.transform(F.regexp_extract_all("text", F.lit(MARKED), F.lit(0)), lambda m: F.regexp_replace(m, r"\s++", " "))
+    words = rows.select(F.explode(F.concat(F.split("text", r"\s+"), pairs)).alias("term"))
+    return words.groupBy(F.lower("term").alias("term")).agg(F.count("*").alias("total"))
+
+
+def _met(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Left join of stored rows with one row per key, hot keys by broadcast."""
+    times = rows.groupBy(key).agg(F.count("*").alias("met"))
+    sized = written(groups.join(times, key), "met")
+    return attach(rows, sized, [key], "met", rows.count()).drop("met")
+
+
 def _against(both: DataFrame, patterns: DataFrame) -> DataFrame:
     """(pattern, against): the instances that stand between a pattern and a word
     known to go with other things. ``both`` has (left, right, n, seeds) for the
@@ -190,10 +247,13 @@ def _against(both: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def _good(edges: DataFrame, triples: DataFrame) -> DataFrame:
     """(pattern, score, times) of the patterns that count, for edges (pattern,
-    instance, known) and triples (left, right, instance, known), known being the
-    score of a seed or null."""
+    instance, places, common, known) and triples (left, right, instance, known),
+    known being the score of a seed or null."""
     seeds = F.count("known").alias("seeds")
-    patterns = edges.groupBy("pattern").agg(F.count("*").alias("n"), seeds, F.sum("known").alias("found"))
+    seen = F.sum(F.when(F.col("known").isNotNull(), F.col("places"))).alias("seen")
+    patterns = edges.groupBy("pattern").agg(
+        F.count("*").alias("n"), seeds, F.sum("known").alias("found"), seen, F.max("common").alias("common")
+    )
     patterns = written(patterns, "patterns")
     both = triples.filter("left != '' and right != ''").groupBy("left", "right").agg(F.count("*").alias("n"), seeds)
     both = both.select(F.concat(F.lit("L "), F.col("left")).alias("left"), F.concat(F.lit("R "), F.col("right")).alias("right"), "n", "seeds")
@@ -202,43 +262,54 @@ def _good(edges: DataFrame, triples: DataFrame) -> DataFrame:
     against = F.coalesce(F.col("against"), F.lit(0))
     unknown = F.log10(1.0 + F.col("n") - F.col("seeds"))
     score = F.col("found") / (F.col("found") + against + F.greatest(F.lit(1.0), unknown))
+    score = score * F.col("seen") / (F.col("seen") + F.col("common"))
     judged = judged.select("pattern", score.alias("score"), F.col("n").alias("times"))
     return written(judged.filter(F.col("score") >= LEAST_PATTERN), "good")
 
 
-def discovered(places: DataFrame) -> DataFrame:
-    """(row_key, start, end) of unseen identifiers, for rows (row_key, start,
-    end, instance, left, right, seed)."""
+def discovered(places: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row_key, start, end) of unseen identifiers, for stored rows (row_key,
+    start, end, instance, left, right, seed) and the counts of ``_terms``."""
     known = F.when(F.col("seed"), F.lit(1.0)).alias("known")
-    triples = places.groupBy("left", "right", "instance").agg(F.max("seed").alias("seed"))
+    triples = places.groupBy("left", "right", "instance").agg(F.max("seed").alias("here"), F.count("*").alias("places"))
+    triples = written(triples, "places-met")
     # an instance that is a seed anywhere is one everywhere
-    seeds = places.filter("seed").select("instance", F.lit(True).alias("is_seed")).distinct()
-    triples = triples.drop("seed").join(seeds, "instance", "left")
-    triples = triples.select("left", "right", "instance", F.coalesce("is_seed", F.lit(False)).alias("seed"))
+    seeds = triples.filter("here").select("instance", F.lit(True).alias("is_seed")).distinct()
+    secret = F.rlike("instance", F.lit(SECRET))
+    seed = F.coalesce("is_seed", F.lit(False))
+    triples = _met(triples, seeds, "instance").select("left", "right", "instance", "places", seed.alias("base"), (seed | secret).alias("seed"))
     triples = written(triples, "triples")
     sides = F.explode(F.array(F.concat(F.lit("L "), F.col("left")), F.concat(F.lit("R "), F.col("right"))))
-    edges = triples.select(sides.alias("pattern"), "instance", "seed").filter(F.char_length("pattern") > 2)
-    edges = written(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
+    edges = triples.select(sides.alias("pattern"), "instance", "places", "base", "seed").filter(F.char_length("pattern") > 2)
+    edges = edges.groupBy("pattern", "instance").agg(F.max("base").alias("base"), F.max("seed").alias("seed"), F.sum("places").alias("places"))
+    edges = written(edges, "pattern-instances")
+    held = edges.groupBy("pattern").agg(F.sum("places").alias("held"))
+    held = held.withColumn("term", F.substring("pattern", 3, 1 << 30)).join(terms, "term", "left")
+    # a run of marks that is no term is beside nothing that is counted, and does not count
+    common = F.greatest(F.coalesce(F.col("total") - F.col("held"), F.lit(1 << 40)), F.lit(0))
+    edges = written(_met(edges, held.select("pattern", common.alias("common")), "pattern"), "edges")
     total = edges.count()
-    good = _good(edges.select("pattern", "instance", known), triples.select("left", "right", "instance", known))
+    with_known = lambda t: t.withColumn("known", known)
+    good = _good(with_known(edges), with_known(triples))
     sure = _sure(edges, good, total)
     for _ in range(ROUNDS - 1):
         if sure.isEmpty():
             break  # no new seeds, so no other scores
         more = [
-            t.join(sure, "instance", "left").withColumn("known", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("sure")))
+            _met(t, sure, "instance").withColumn("known", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("sure")))
             for t in (edges, triples)
         ]
         good = _good(*more)
         sure = _sure(edges, good, total)
-    placed = places.filter(~F.col("seed")).join(sure.select("instance"), "instance", "left_semi")
-    beside = placed.select("row_key", "start", "end", sides.alias("pattern"))
-    return beside.join(good.select("pattern"), "pattern", "left_semi").select("row_key", "start", "end").distinct()
+    placed = _met(places, sure, "instance").filter(F.col("sure").isNotNull() & ~F.col("seed"))
+    beside = written(placed.select("row_key", "start", "end", sides.alias("pattern")), "beside")
+    beside = _met(beside, good.select("pattern", "score"), "pattern").filter(F.col("score").isNotNull())
+    return beside.select("row_key", "start", "end").distinct()
 
 
 def _sure(edges: DataFrame, good: DataFrame, total: int) -> DataFrame:
     """(instance, sure) of the unseen identifiers."""
-    rated = attach(edges.filter(~F.col("seed")), good, ["pattern"], "times", total)
+    rated = attach(edges.filter(~F.col("base")), good, ["pattern"], "times", total)
     together = 1 - F.exp(F.sum(F.log1p(-F.coalesce(F.col("score"), F.lit(0.0)))))
     rated = rated.groupBy("instance").agg(together.alias("sure"))
     return written(rated.filter(F.col("sure") >= LEAST_INSTANCE), "sure")
@@ -256,17 +327,15 @@ def find(docs: DataFrame) -> DataFrame:
         *matched,
         *_matched(text, "word", INSTANCE, "[0-9@]"),
     )
+    terms = written(_terms(docs.select(text_of().alias("text"))), "terms")
     rows = rows.select("doc_id", "row_key", base_spans().alias("base"), _instances().alias("places"))
     rows = written(rows, "pii-rows")
-    placed = rows.filter(F.size("places") > 0).select("row_key", "base", F.explode("places").alias("p")).select(
-        "row_key", "base", "p.*"
-    )
-    overlaps = F.exists("base", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
-    added = discovered(placed.withColumn("seed", overlaps).drop("base"))
+    placed = rows.filter(F.size("places") > 0).select("row_key", F.explode(_seeded()).alias("p")).select("row_key", "p.*")
+    added = discovered(written(placed, "places"), terms)
     kind = F.lit(KINDS.index("id")).alias("kind")
     more = added.groupBy("row_key").agg(F.collect_list(F.struct("start", kind, "end")).alias("more"))
     some = F.size("places") > 0
-    whole = rows.filter(some).join(more, "row_key", "left").unionByName(
+    whole = _met(rows.filter(some), more, "row_key").unionByName(
         rows.filter(~some).withColumn("more", F.lit(None).cast(SPAN))
     )
     more = F.coalesce("more", F.array().cast(SPAN))

@@ -119,3 +119,32 @@ def test_words_beside_each_other_are_contexts_too(spark):
     seeds = [f"{words(i)} field1 user{i}@mail.org {words(50 + i)}" for i in range(12)]
     got = ids(spark, [*seeds, "other field1 user77(at)mail thing", "\n".join(["last", "field1", " " * 80 + "user78(at)mail", "thing"])])
     assert "user77(at)mail" in got[12] and "user78(at)mail" in got[13]
+
+
+def test_what_goes_with_ordinary_words_does_not_count(spark):
+    key = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    ordinary = [f"{words(i)} of {words(i + 9)} and x = {i} of {words(i + 99)}" for i in range(60)]
+    beside = [f"{words(i)} of user{i}@mail.org {words(50 + i)}" for i in range(12)] + ["sort of 77-12 thing"]
+    keys = [f'{words(i)} token = "{key(i)}"### {words(70 + i)}' for i in range(8)]
+    other = ['a token = "ab12-short" here', f"the sum of {key(99)} it", f"last x = {key(98)} it"]
+    got = ids(spark, ordinary + beside + keys + other)
+    assert not any(got[:73])
+    assert got[73:] == [*[[key(i)] for i in range(8)], ["ab12-short"], [], []]
+
+
+def test_planted_keys(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    want = {
+        (r["doc_id"], f"id:{m.start(1)}:{m.end(1)}")
+        for r in docs.collect()
+        for m in re.finditer(r'token = "([0-9a-f]+)"', r["text"] or "", re.I)
+    }
+    got = {(r["doc_id"], s) for r in pii.find(docs).collect() for s in r["spans"].split(",") if s.startswith("id:")}
+    assert got == want and len(want) > 10
+
+
+def test_very_many_matches(spark):
+    texts = [" ".join(str(i) for i in range(60_000)), " ".join(f"u{i}@mail.org" for i in range(30_000))]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in check(spark.createDataFrame(rows, SCHEMA), rows)}
+    assert got[1]["n_email"] == 30_000
