@@ -10,13 +10,14 @@ sets form one class. For the classes
 3. the token-group matrix has one row per (token, group), the union of the
    members' tokens. A set is a candidate for a group with one of its prefix
    tokens and a size that allows a link. Its counted tokens outside the group's
-   union bound its overlap with any member; a group is opened for the set's own
-   group only if that bound reaches the threshold. Groups cut from one cluster
-   are opened for each other if they share a prefix token;
-4. opened pairs of groups are compared in full: overlaps of all members by
-   products of token incidence blocks, links by exact integers. Each pair of
-   groups returns a spanning forest of its links, not all of them, so no link
-   between different texts is lost for the components and no group of copies
+   union bound its overlap with any member; a group is opened for the set only
+   if that bound reaches the threshold, and only the sets that open it go there,
+   in parts with the bounds of a group. Groups cut from one cluster are opened for
+   each other if they share a prefix token;
+4. an opened group is compared in full with the sets that open it: overlaps with
+   all members by products of token incidence blocks, links by exact integers.
+   Each comparison returns a spanning forest of its links, not all of them, so no
+   link between different texts is lost for the components and no group of copies
    is multiplied out;
 5. components come from star contraction on Spark.
 
@@ -56,6 +57,8 @@ FILTER_BITS = 1 << 24
 #: Two longs a row; above this many, sets and groups meet by shuffle.
 BROADCAST_ROWS = 500_000
 TOKEN_BLOCK = 1024
+#: The part of a group that holds its members; parts from 0 on ask for it.
+OWN = -1
 
 ROW = "doc_id long, row_key long, set_id binary, n_shingles long, counted int, prefix array<long>"
 
@@ -175,8 +178,12 @@ def _groups(tokens: DataFrame) -> DataFrame:
     return label.select("row_key", "n", "label", F.xxhash64("label", part).alias("grp"))
 
 
-def _group_pairs(tokens: DataFrame, held: DataFrame, groups: DataFrame, ratio: Fraction) -> DataFrame:
-    """Pairs of groups (g, h), g < h, that have to be opened."""
+def _to_open(
+    tokens: DataFrame, held: DataFrame, groups: DataFrame, ratio: Fraction
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs of groups (g, h), g < h, cut from one cluster, to be compared with each
+    other, and the classes (row_key, n, h) for which another cluster's group h has
+    to be opened."""
     up, down = ratio.numerator, ratio.denominator
     placed = written(tokens.select("token", "row_key").join(groups, "row_key"), "placed")
     matrix = placed.groupBy("token", "grp", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"))
@@ -191,19 +198,30 @@ def _group_pairs(tokens: DataFrame, held: DataFrame, groups: DataFrame, ratio: F
 
     members = placed.alias("a")
     of_two = same_token & (F.col("a.label") != F.col("b.label")) & ordered & fits("a.n", "a.n")
-    asked = members.join(right, of_two).select("a.row_key", "a.n", F.col("a.grp").alias("g"), F.col("b.grp").alias("h"))
+    asked = members.join(right, of_two).select("a.row_key", "a.n", F.col("b.grp").alias("h"))
     asked = written(asked.distinct(), "asked")
     own = held.filter(_early(ratio)).join(groups.select("row_key", "grp"), "row_key")
     union = own.select("token", F.col("grp").alias("h")).distinct()
     inside = asked.join(own.select("row_key", "token", "counted"), "row_key").join(union, ["token", "h"], "left_semi")
-    inside = inside.groupBy("row_key", "n", "counted", "g", "h").agg(F.count("*").alias("inside"))
+    inside = inside.groupBy("row_key", "n", "counted", "h").agg(F.count("*").alias("inside"))
     # without counted tokens to judge by, a group is opened
-    few = asked.join(own.select("row_key").distinct(), "row_key", "left_anti").select("g", "h")
+    few = asked.join(own.select("row_key").distinct(), "row_key", "left_anti").select("row_key", "n", "h")
     most_outside = F.col("n") - F.ceil(F.col("n") * up / down)
-    near = inside.filter(F.col("counted") - F.col("inside") <= most_outside).select("g", "h")
+    near = inside.filter(F.col("counted") - F.col("inside") <= most_outside).select("row_key", "n", "h")
     # a class may be too small for its counted tokens to bound anything
     small = asked.join(own.select("row_key", "counted").distinct(), "row_key").filter(F.col("counted") <= most_outside)
-    return within.unionByName(near).unionByName(few).unionByName(small.select("g", "h")).distinct()
+    asks = near.unionByName(few).unionByName(small.select("row_key", "n", "h")).distinct()
+    return within.distinct(), asks
+
+
+def _dealt(asks: DataFrame) -> DataFrame:
+    """(row_key, grp, part): the classes that ask for a group in parts of about the
+    bounds of a group, so that a group that many ask for is opened in many tasks."""
+    whole = asks.groupBy("h").agg(F.count("*").alias("asking"), F.sum("n").alias("asked_tokens"))
+    parts = F.ceil(F.greatest(F.col("asking") / GROUP_MEMBERS, F.col("asked_tokens") / GROUP_TOKENS))
+    sized = attach(asks, whole.withColumn("parts", parts), ["h"], "asking", asks.count())
+    part = F.pmod(F.xxhash64("row_key", F.lit("part")), F.col("parts"))
+    return sized.select("row_key", F.col("h").alias("grp"), part.alias("part"))
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -291,25 +309,30 @@ def links(docs: DataFrame, rows: DataFrame, width: int, ratio: Fraction) -> Data
     held = _held(classes)
     tokens = written(_shared(held, ratio), "shared")
     groups = written(_groups(tokens), "groups")
-    pairs = written(_group_pairs(tokens, held, groups, ratio), "pairs")
+    pairs, asks = _to_open(tokens, held, groups, ratio)
+    pairs, asks = written(pairs, "pairs"), written(asks, "asks")
     sets = _needed_sets(docs, width, _bit_filter(groups, "row_key"))
-    needed = groups.select("row_key", "grp")
-    if groups.count() <= BROADCAST_ROWS:
+    # a set goes to its own group and to those that it asks for, in one shuffle
+    needed = groups.select("row_key", "grp", F.lit(OWN).alias("part")).unionByName(_dealt(asks))
+    needed = written(needed, "needed")
+    if needed.count() <= BROADCAST_ROWS:
         needed = F.broadcast(needed)
     members = (
         sets.join(needed, "row_key")
-        .groupBy("grp")
+        .groupBy("grp", "part")
         .agg(F.collect_list(F.struct("set_id", "tokens")).alias("m"))
-        .select("grp", F.col("m.set_id").alias("ids"), F.col("m.tokens").alias("sets"))
+        .select("grp", "part", F.col("m.set_id").alias("ids"), F.col("m.tokens").alias("sets"))
     )
     members = written(members, "members")
+    own, asking = (members.filter(c).drop("part") for c in (F.col("part") == OWN, F.col("part") != OWN))
     none = F.lit(None)
-    alone = members.filter(F.size("ids") > 1).select(
+    alone = own.filter(F.size("ids") > 1).select(
         "ids", "sets", none.cast("array<binary>").alias("other_ids"), none.cast("array<binary>").alias("other_sets")
     )
-    others = members.select(F.col("grp").alias("h"), F.col("ids").alias("other_ids"), F.col("sets").alias("other_sets"))
-    crossed = pairs.join(members.withColumnRenamed("grp", "g"), "g").join(others, "h")
-    crossed = crossed.select("ids", "sets", "other_ids", "other_sets")
+    others = own.select(F.col("grp").alias("h"), F.col("ids").alias("other_ids"), F.col("sets").alias("other_sets"))
+    lefts = pairs.join(own, pairs.g == own.grp).select("h", "ids", "sets")
+    lefts = lefts.unionByName(asking.withColumnRenamed("grp", "h"))
+    crossed = lefts.join(others, "h").select("ids", "sets", "other_ids", "other_sets")
     return alone.mapInArrow(_open(ratio), "u binary, v binary").unionByName(
         crossed.mapInArrow(_open(ratio), "u binary, v binary")
     )
