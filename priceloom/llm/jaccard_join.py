@@ -57,6 +57,8 @@ FILTER_BITS = 1 << 24
 #: Two longs a row; above this many, sets and groups meet by shuffle.
 BROADCAST_ROWS = 500_000
 TOKEN_BLOCK = 1024
+#: The classes of one label and size lie in this many cells.
+CELLS = 64
 #: The part of a group that holds its members; parts from 0 on ask for it.
 OWN = -1
 
@@ -149,33 +151,54 @@ def _early(ratio: Fraction) -> Column:
 
 
 def _shared(held: DataFrame, ratio: Fraction) -> DataFrame:
-    """(token, row_key, n) of the prefix tokens that a class shares with some
-    class of a size that allows a link. Sorted by size, the next one above or
-    below is such a class if any is."""
+    """(token, row_key, n, classes) of the prefix tokens that a class shares with
+    some class of a size that allows a link. Of the sizes of a token's classes, the
+    same one or the next one above or below is such a size if any is; sizes are
+    counted before they are sorted, so a token that many classes hold brings no more
+    rows to a task than there are sizes."""
     held = held.withColumn("early", _early(ratio))
     own = Window.partitionBy("row_key", "early")
     place = F.row_number().over(own.orderBy("classes", "token")) + F.col("counted") - F.count("*").over(own)
     # counted tokens that nobody shares come before these
     first = held.withColumn("place", place).filter(~F.col("early") | (F.col("place") <= _prefix_length(F.col("n"), ratio)))
+    first = written(first.select("token", "row_key", "n", "classes"), "first")
     up, down = ratio.numerator, ratio.denominator
+    sizes = first.groupBy("token", "n").agg(F.count("*").alias("same"))
     line = Window.partitionBy("token").orderBy("n")
-    near = first.withColumns({"below": F.lag("n").over(line), "above": F.lead("n").over(line)})
+    near = sizes.withColumns({"below": F.lag("n").over(line), "above": F.lead("n").over(line)})
     fits = (F.col("below") * down >= F.col("n") * up) | (F.col("n") * down >= F.col("above") * up)
-    return near.filter(fits).select("token", "row_key", "n")
+    kept = near.filter(fits | (F.col("same") > 1)).select("token", "n", "same")
+    marked = attach(first, kept, ["token", "n"], "same", first.count())
+    return marked.filter(F.col("same").isNotNull()).select("token", "row_key", "n", "classes")
+
+
+def _least_labels(tokens: DataFrame, label: str, total: int) -> DataFrame:
+    """(row_key, n, label): the least label among the classes that share a token
+    with a class, folded up before it moves."""
+    least = tokens.groupBy("token").agg(F.min(label).alias("least"), F.count("*").alias("sharers"))
+    near = attach(tokens.select("token", "row_key", "n"), least, ["token"], "sharers", total)
+    return near.groupBy("row_key", "n").agg(F.min("least").alias("label"))
 
 
 def _groups(tokens: DataFrame) -> DataFrame:
     """(row_key, n, label, grp) of all classes that share a prefix token. Two rounds of
     taking the least label among sharers bring similar sets together; the rest
-    is cutting by members and tokens."""
-    sharers = Window.partitionBy("token")
-    label = tokens.withColumn("label", F.min("row_key").over(sharers))
-    label = label.groupBy("row_key").agg(F.min("label").alias("label"))
-    again = tokens.join(label, "row_key").withColumn("label", F.min("label").over(sharers))
-    label = again.groupBy("row_key", "n").agg(F.min("label").alias("label"))
-    line = Window.partitionBy("label").orderBy("n", "row_key").rowsBetween(Window.unboundedPreceding, 0)
-    part = F.greatest(F.floor(F.count("*").over(line) / GROUP_MEMBERS), F.floor(F.sum("n").over(line) / GROUP_TOKENS))
-    return label.select("row_key", "n", "label", F.xxhash64("label", part).alias("grp"))
+    is cutting by members and tokens: a label's classes lie in a line of cells, by
+    size and hash, whose running sums are taken over the cells."""
+    total = tokens.count()
+    label = written(_least_labels(tokens, "row_key", total), "labels").drop("n")
+    again = written(tokens.join(label, "row_key"), "labelled")
+    label = _least_labels(again, "label", total)
+    label = written(label.withColumn("cell", F.pmod(F.xxhash64("row_key"), F.lit(CELLS))), "cells")
+    cells = label.groupBy("label", "n", "cell").agg(F.count("*").alias("held"))
+    line = Window.partitionBy("label").orderBy("n", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = {"rows_before": F.sum("held").over(line), "tokens_before": F.sum(F.col("held") * F.col("n")).over(line)}
+    cells = cells.withColumns(before).na.fill(0, list(before))
+    placed = attach(label, cells, ["label", "n", "cell"], "held", label.count())
+    place = F.row_number().over(Window.partitionBy("label", "n", "cell").orderBy("row_key"))
+    rows, size = F.col("rows_before") + place, F.col("tokens_before") + place * F.col("n")
+    part = F.greatest(F.floor(rows / GROUP_MEMBERS), F.floor(size / GROUP_TOKENS))
+    return placed.select("row_key", "n", "label", F.xxhash64("label", part).alias("grp"))
 
 
 def _to_open(
