@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,9 +190,12 @@ def predict(
     """Adds the predicted language and its probability to all columns, and as
     ``sure`` how well the text's parts are told, if it is named."""
     held = docs.sparkSession.sparkContext.broadcast(net)
-    text = free_name(docs, "whole_text")
     added = [language, score, *([sure] if sure else [])]
     names = [c for c in docs.columns if c not in added]
+    # a string text passes once, its nulls read as empty in the worker; any
+    # other type goes as its text beside it
+    direct = "text" in names and dict(docs.select(*names).dtypes)["text"] == "string"
+    text = "text" if direct else free_name(docs, "whole_text")
     schema = docs.select(*names).schema.add(language, "string").add(score, "double")
     if sure:
         schema = schema.add(sure, "double")
@@ -202,7 +206,7 @@ def predict(
         for slice_ in slices(batches, text):
             for at in range(0, slice_.num_rows, rows):
                 part = slice_.slice(at, rows)
-                column = part.column(text)
+                column = pc.fill_null(part.column(text), "")
                 letters = [bool(t) and LETTER.search(t) is not None for t in column.to_pylist()]
                 found, scores, told = [UNKNOWN] * part.num_rows, [0.0] * part.num_rows, [0.0] * part.num_rows
                 if model is not None:
@@ -213,7 +217,8 @@ def predict(
                 arrays += [pa.array(told, pa.float64())] if sure else []
                 yield pa.RecordBatch.from_arrays(arrays, [*names, *added])
 
-    return docs.select(*names, text_of().alias(text)).mapInArrow(run, schema)
+    sent = docs.select(*names) if direct else docs.select(*names, text_of().alias(text))
+    return sent.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:

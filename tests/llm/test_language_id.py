@@ -106,3 +106,15 @@ def test_without_labels_texts_with_letters_stay(messy, messy_rows):
     unlabelled = messy.selectExpr("doc_id", "text", "cast(null as string) as lang", "source", "n_chars")
     kept = language_id.keep_known(unlabelled)
     assert kept.count() == sum(any(c.isalpha() for c in r[1] or "") for r in messy_rows)
+
+
+def test_each_text_goes_to_the_worker_once(spark, network):
+    rows = spark.createDataFrame(
+        [(1, "the nation and the people", "en"), (2, None, None), (3, "12 34", None)], "doc_id long, text string, lang string"
+    )
+    found = language_id.predict(rows, network, sure="sure")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "whole_text" not in plan and "coalesce" not in plan
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert got[2]["text"] is None and got[2]["lang_pred"] == language_id.UNKNOWN and got[2]["lang_score"] == 0.0
+    assert got[3]["lang_pred"] == language_id.UNKNOWN and got[1]["lang_pred"] != language_id.UNKNOWN
