@@ -259,3 +259,25 @@ def test_preparation_moves_no_rows_by_default(spark, signal, plan_of):
     laid_out = recipes._laid_out(signal, None, KEY)
     assert laid_out is signal and "Exchange" not in plan_of(prepared.frame)
     prepared.release()
+
+
+def test_rows_of_a_fit_without_subsample_spread_over_bounded_partitions(spark, monkeypatch):
+    from priceloom.plans import recipes as plans
+
+    rows = spark.createDataFrame(
+        [(i, 1000.0 + 3 * i, float(i % 7), float(i % 3), "ab"[i % 2]) for i in range(400)],
+        "id long, price double, rooms double, baths double, kind string",
+    ).coalesce(1)
+    monkeypatch.setattr(plans, "ROWS_PER_PARTITION", 50)
+    whole = plans.BASIC_RECIPE.with_(booster=plans.BASIC.with_(subsampling_rate=1.0, max_iter=2))
+    prepared = plans.prepare(rows, whole, target="price", row_key=("id",))
+    try:
+        assert prepared.frame.rdd.getNumPartitions() == 8
+        assert prepared.frame.count() == 400
+    finally:
+        prepared.release()
+    sampled = plans.prepare(rows, plans.BASIC_RECIPE, target="price", row_key=("id",))
+    try:
+        assert sampled.frame.rdd.getNumPartitions() == 1
+    finally:
+        sampled.release()
