@@ -321,8 +321,17 @@ _loaded: dict[tuple, Bpe] = {}
 
 def loaded(path: str, memo: tuple[int, int] | None = None) -> Bpe:
     if (path, memo) not in _loaded:
-        gc.disable()  # millions of remembered tuples, and no cycles among them
-        _loaded[path, memo] = Bpe(path, memo)
+        # The worker is reused by later stages: its collector stays on, else
+        # their cyclic garbage is never freed; the vocabulary is frozen instead,
+        # so that collections do not walk it.
+        was_on = gc.isenabled()
+        gc.disable()
+        try:
+            _loaded[path, memo] = Bpe(path, memo)
+        finally:
+            gc.freeze()
+            if was_on:
+                gc.enable()
     return _loaded[path, memo]
 
 

@@ -78,3 +78,24 @@ def test_digests_are_of_the_ids(spark, monkeypatch):
     flat[-1] += 1
     good, empty, bad = bpe.decoded_texts(table, flat, ends)
     assert good.decode() == "Hello größe 🙂 x" and empty == b"" and bad != b"a b"
+
+
+def test_loading_leaves_the_collector_on():
+    """A Python worker is reused by later stages; their cyclic garbage must be
+    freed after the vocabulary is loaded."""
+    import gc
+    import weakref
+
+    bpe._loaded.pop((bpe.default_vocabulary(), bpe.SMALL_MEMO), None)
+    bpe.loaded(bpe.default_vocabulary(), bpe.SMALL_MEMO)
+    assert gc.isenabled()
+
+    class Node:
+        pass
+
+    a, b = Node(), Node()
+    a.other, b.other = b, a
+    gone = weakref.ref(a)
+    del a, b
+    gc.collect()
+    assert gone() is None
