@@ -20,8 +20,8 @@ import gc
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -124,7 +124,7 @@ class Bpe:
         self.names = {i: str(i) for i in self.bytes}
         self.words = regex.compile(PATTERN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.memo: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.memo: dict[str, tuple[tuple[int, ...], str, bytes, bytes]] = {}
         self.older: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
         self.pieces: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
         self.known = np.zeros(0, dtype=np.int64)
@@ -285,19 +285,20 @@ class Bpe:
         fresh |= {w: (self.added[w],) for w in missing if w in self.added}
         name, raw = self.names, self.bytes
         memo.update(
-            (w, (ids, ",".join([name[i] for i in ids]), b"".join([raw[i] for i in ids]))) for w, ids in fresh.items()
+            (w, (ids, ",".join([name[i] for i in ids]), b"".join([raw[i] for i in ids]), array("i", ids).tobytes()))
+            for w, ids in fresh.items()
         )
         pieces = self.pieces
         for piece, ws in zip(new, split):
             if len(ws) == 1:
                 pieces[piece] = memo[ws[0]]
             else:
-                ids, names, bytes_ = zip(*[memo[w] for w in ws])
-                pieces[piece] = tuple([i for part in ids for i in part]), ",".join(names), b"".join(bytes_)
+                ids, names, bytes_, packed = zip(*[memo[w] for w in ws])
+                pieces[piece] = tuple([i for part in ids for i in part]), ",".join(names), b"".join(bytes_), b"".join(packed)
 
     def encode_batch(self, texts: list[str]) -> list[list[tuple[tuple[int, ...], str, bytes]]]:
-        """For each text, for each of its pieces: ids, ids in decimals, and the
-        bytes the ids decode to."""
+        """For each text, for each of its pieces: ids, ids in decimals, the
+        bytes the ids decode to, and the ids as 32-bit integers in bytes."""
         cut = [self.cut_text(t) for t in texts]
         if len(self.pieces) > self.most_pieces:
             self.pieces, self.older = {}, self.pieces
@@ -341,9 +342,9 @@ def _digest(decoded: bytes) -> str:
 
 def _flat(coded: list[list[tuple]]) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts in one array, and where each text starts."""
-    ends = np.cumsum([0] + [sum([len(p[0]) for p in text]) for text in coded])
-    ids = chain.from_iterable(chain.from_iterable([p[0] for p in text] for text in coded))
-    return np.fromiter(ids, np.int64, int(ends[-1])), ends
+    packed = [b"".join([p[3] for p in text]) for text in coded]
+    ends = np.cumsum([0] + [len(text) for text in packed]) // 4
+    return np.frombuffer(b"".join(packed), dtype=np.int32).astype(np.int64), ends
 
 
 def decoded_texts(table: tuple[np.ndarray, np.ndarray], ids: np.ndarray, ends: np.ndarray) -> list[bytes]:

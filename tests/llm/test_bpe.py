@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -52,6 +53,21 @@ def test_memory_of_words_is_bounded(monkeypatch, exact):
     assert len(codec.pieces) <= 40 + 50 and len(codec.memo) <= 50 + 50
 
 
+
+def test_ids_are_packed_with_each_piece():
+    """Each remembered piece keeps its ids as 32-bit integers in bytes, also
+    after the memories are renewed, and the ids of texts are laid out from them."""
+    codec, rng = bpe.Bpe(bpe.default_vocabulary(), (50, 40)), random.Random(7)
+    for _ in range(6):
+        texts = [" ".join("".join(rng.choices("abcde,", k=5)) for _ in range(10)) for _ in range(5)] + [""]
+        coded = codec.encode_batch(texts)
+        for pieces in coded:
+            for ids, _, _, packed in pieces:
+                assert np.frombuffer(packed, dtype=np.int32).tolist() == list(ids)
+        flat, ends = bpe._flat(coded)
+        assert [flat[a:b].tolist() for a, b in zip(ends, ends[1:])] == [[i for p in ps for i in p[0]] for ps in coded]
+
+
 def test_digests_of_messy_rows(clashing, messy_rows, exact):
     got = sorted((tuple(r) for r in bpe.digests(clashing).collect()), key=repr)
     want = []
