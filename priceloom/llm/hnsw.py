@@ -246,7 +246,9 @@ def nearest(
     block = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-many // QUERY_BLOCK))))
     blocks = packed.groupBy(block.alias("block")).agg(F.collect_list(F.struct("id", "packed")).alias("queries"))
     blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")))
-    found = index.join(blocks, "shard").drop("block").mapInArrow(_look(k, width), "query_id long, vec_id long, score double")
+    # Every block goes to every shard, which grows with the square: by shuffle only, as a broadcast passes through the driver.
+    met = index.repartition(shards, "shard").hint("merge").join(blocks.repartition(shards, "shard"), "shard")
+    found = met.drop("block").mapInArrow(_look(k, width), "query_id long, vec_id long, score double")
     found = found.filter("query_id <> vec_id").distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     top = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

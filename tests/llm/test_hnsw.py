@@ -56,6 +56,15 @@ def test_few_and_no_candidates(spark):
     assert hnsw.nearest(none, none, 20).count() == 0
 
 
+def test_blocks_and_graphs_are_not_broadcast(spark, plan_of):
+    rows = [(i, [float(i % 7), 1.0, float(i)], 0, "", "") for i in range(60)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    found = hnsw.nearest(table, table.filter("vec_id % 20 = 0"), 5)
+    plan = plan_of(found)
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert found.count() == 15
+
+
 def test_flat_layers_are_the_graph():
     vectors = np.random.default_rng(3).normal(size=(300, 8)).astype(np.float32)
     graph = hnsw.Graph.build(vectors)
